@@ -207,7 +207,7 @@ def _(spark, d):
 
 @query(
     "geocode_join",
-    """SELECT c_custkey, c_name, n_name, n_regionkey, (n_name IS NULL) AS unmatched FROM customer
+    """SELECT c_custkey, c_name, n_name, COALESCE(n_regionkey, -1) AS n_regionkey, (n_name IS NULL) AS unmatched FROM customer
     LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 5 <> 0) n ON c_nationkey = n.n_nationkey""",
 )
 def _(spark, d):
@@ -217,7 +217,7 @@ def _(spark, d):
     both = matched.withColumn("unmatched", F.lit(False)).unionByName(
         unmatched.withColumn("unmatched", F.lit(True)), allowMissingColumns=True
     )
-    return both.drop("c_nationkey")
+    return both.drop("c_nationkey").fillna(-1, subset=["n_regionkey"])
 
 
 @query("source_priority", f"WITH {OBS} SELECT city, CAST(COUNT(*) AS BIGINT) AS rows FROM obs GROUP BY city")

@@ -22,12 +22,28 @@ def calendar_bucket(spec: ObsSpec) -> Column:
     return F.floor(days / F.lit(spec.bucket_days)).cast("int")
 
 
+def _numbered(bucketed: DataFrame, starts: DataFrame, spec: ObsSpec, then: list[str], weight: str | None, out: str) -> DataFrame:
+    """Give each row the start of its bucket plus what comes before it inside the bucket.
+
+    The starts travel as one extra row per bucket that sorts ahead of the others: one shuffle and one
+    sort, where a join would sort twice.
+    """
+    rows = bucketed.withColumns({"_row": F.lit(1), "_start": F.lit(None).cast("long")})
+    heads = starts.select(spec.entity, BUCKET, F.col("_start").cast("long"), F.lit(0).alias("_row"))
+    w = W.partitionBy(spec.entity, BUCKET).orderBy("_row", *spec.order, *then)
+    if weight is None:
+        inside = F.row_number().over(w) - 2
+    else:
+        inside = F.coalesce(F.sum(weight).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    both = rows.unionByName(heads, allowMissingColumns=True)
+    start = F.first("_start").over(w.rowsBetween(W.unboundedPreceding, 0))
+    return both.withColumn(out, start + inside).where(F.col("_row") == 1).drop("_row", "_start", BUCKET)
+
+
 def with_position(df: DataFrame, spec: ObsSpec) -> DataFrame:
     """Add the 0-based position of each row in its entity, ordered by time then arrival.
 
-    The count pass reads two columns; the running sum is over one row per entity and bucket. The
-    merge join is asked for because its partitioning and order are what the row number needs next:
-    a broadcast would save nothing.
+    The count pass reads two columns; the running sum is over one row per entity and bucket.
     """
     bucketed = df.withColumn(BUCKET, calendar_bucket(spec))
     before = W.partitionBy(spec.entity).orderBy(BUCKET).rowsBetween(W.unboundedPreceding, -1)
@@ -36,13 +52,7 @@ def with_position(df: DataFrame, spec: ObsSpec) -> DataFrame:
         .agg(F.count("*").alias("_n"))
         .select(spec.entity, BUCKET, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     )
-    inside = W.partitionBy(spec.entity, BUCKET).orderBy(*spec.order)
-    return (
-        bucketed.join(starts.hint("merge"), [spec.entity, BUCKET])
-        .withColumn(POS, F.col("_start") + F.row_number().over(inside) - 1)
-        .drop("_start", BUCKET)
-        .select(*df.columns, POS)
-    )
+    return _numbered(bucketed, starts, spec, [], None, POS).select(*df.columns, POS)
 
 
 def in_blocks(df: DataFrame, spec: ObsSpec, before: int, after: int = 0) -> DataFrame:
@@ -71,6 +81,11 @@ def block_window(spec: ObsSpec) -> W:
     return W.partitionBy(spec.entity, BLOCK).orderBy(POS)
 
 
+def block_over(spec: ObsSpec, *lead: str) -> str:
+    """The same window as SQL text, optionally ordered by further columns first."""
+    return f"PARTITION BY `{spec.entity}`, {BLOCK} ORDER BY {', '.join([*lead, POS])}"
+
+
 def windowed(df: DataFrame, spec: ObsSpec, build, before: int, after: int = 0) -> DataFrame:
     """Add columns that look at most ``before`` rows back and ``after`` rows ahead.
 
@@ -115,10 +130,5 @@ def with_global_index(
     counts = bucketed.groupBy(spec.entity, BUCKET).agg(F.sum("_w").alias("_n_bucket"))
     starts = ordered_prefix(counts, [spec.entity, BUCKET], "_n_bucket", "_start")
     rows = starts.agg(F.coalesce(F.sum("_n_bucket"), F.lit(0))).scalar()
-    inside = W.partitionBy(spec.entity, BUCKET).orderBy(*spec.order, *then).rowsBetween(W.unboundedPreceding, -1)
-    return (
-        bucketed.join(starts.drop("_n_bucket").hint("merge"), [spec.entity, BUCKET])
-        .withColumn(out, F.col("_start") + F.coalesce(F.sum("_w").over(inside), F.lit(0)))
-        .withColumn(total, rows)
-        .select(*df.columns, out, total)
-    )
+    numbered = _numbered(bucketed, starts.drop("_n_bucket"), spec, list(then), "_w", out)
+    return numbered.withColumn(total, rows).select(*df.columns, out, total)

@@ -41,59 +41,59 @@ def ratio_exprs(available: list[str]) -> dict[str, Column]:
 
 # ---- sliding mean and deviation ------------------------------------------------------------
 
-_RADIX = 4
+# Expressions of this section are written as SQL text: there are many, and each is one call to the JVM.
 
+_RADIX = 8
 
-def _merge(pieces: list[tuple[Column, Column, Column]]) -> tuple[Column, Column, Column]:
-    """Count, sum and squared deviation of the union of disjoint pieces; stable, nothing is subtracted
-    but means."""
-    n = sum((p[0] for p in pieces[1:]), pieces[0][0])
-    s = sum((p[1] for p in pieces[1:]), pieces[0][1])
-    mean = s / F.nullif(n, F.lit(0.0))
 
-    def spread(p):
-        return F.when(p[0] > 0, p[2] + p[0] * F.pow(p[1] / F.nullif(p[0], F.lit(0.0)) - mean, F.lit(2.0))).otherwise(0.0)
+def _merged(df: DataFrame, pieces: dict[str, list[tuple[str, str, str]]], kept: list[str]) -> DataFrame:
+    """Count, mean and squared deviation of unions of disjoint pieces, as ``_n_{name}`` etc.
 
-    return n, s, sum((spread(p) for p in pieces[1:]), spread(pieces[0]))
+    Stable: nothing is subtracted but means. Free of branches and nulls, which keeps the generated code
+    small enough to be compiled: an empty piece has count and mean 0 and adds nothing.
+    """
+    first, second = {}, {}
+    for name, parts in pieces.items():
+        first[f"_n_{name}"] = " + ".join(n for n, _, _ in parts)
+        total = " + ".join(f"{n} * {m}" for n, m, _ in parts)
+        first[f"_m_{name}"] = f"({total}) / greatest({first[f'_n_{name}']}, 1D)"
+        second[f"_q_{name}"] = " + ".join(f"{q} + {n} * ({m} - _m_{name}) * ({m} - _m_{name})" for n, m, q in parts)
+    return _with_exprs(_with_exprs(df, first), second).select(*kept, *first, *second)
+
+
+def _with_exprs(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
+    return df.selectExpr("*", *[f"{e} AS `{name}`" for name, e in exprs.items()])
 
 
-def _lagged_stats(df: DataFrame, wanted: list[tuple[int, int]], w: WindowSpec) -> DataFrame:
+def _lagged_stats(df: DataFrame, wanted: list[tuple[int, int]], over: str) -> DataFrame:
     """Columns ``_n_{rows}_{back}`` etc.: the statistics over ``rows`` rows, as of ``back`` rows ago."""
-    return df.withColumns(
-        {
-            f"_{k}_{rows}_{back}": F.lag(f"_{k}_{rows}", back, 0.0).over(w)
-            for rows, back in wanted
-            if back
-            for k in "nsq"
-        }
+    return _with_exprs(
+        df, {f"_{k}_{rows}_{back}": f"lag(_{k}_{rows}, {back}, 0D) OVER ({over})" for rows, back in wanted if back for k in "nmq"}
     )
 
 
-def _piece(rows: int, back: int) -> tuple[Column, Column, Column]:
-    return tuple(F.col(f"_{k}_{rows}_{back}" if back else f"_{k}_{rows}") for k in "nsq")
+def _piece(rows: int, back: int) -> tuple[str, str, str]:
+    return tuple(f"_{k}_{rows}_{back}" if back else f"_{k}_{rows}" for k in "nmq")
 
 
-def with_rolling(df: DataFrame, column: str, days, w: WindowSpec) -> DataFrame:
+def with_rolling(df: DataFrame, column: str, days, over: str) -> DataFrame:
     """Mean and sample deviation of the ``24 * d`` rows before the current one; a lone row deviates by 0.
+    ``over`` is the window as SQL text.
 
-    A sliding frame would visit every row of every window again. Instead statistics over 1, 4, 16, 64, ...
-    rows are built from each other, four at a time, and each window is put together from a few of them:
+    A sliding frame would visit every row of every window again. Instead statistics over 1, 8, 64, ...
+    rows are built from each other, eight at a time, and each window is put together from a few of them:
     the work per row grows with the logarithm of the window. Rows without a value count as empty.
     """
     kept = df.columns
-    x = F.col(column).cast("double")
-    df = df.withColumns(
-        {"_n_1": F.when(x.isNull(), 0.0).otherwise(1.0), "_s_1": F.coalesce(x, F.lit(0.0)), "_q_1": F.lit(0.0)}
-    )
+    x = f"CAST(`{column}` AS DOUBLE)"
+    df = _with_exprs(df, {"_n_1": f"if({x} IS NULL, 0D, 1D)", "_m_1": f"coalesce({x}, 0D)", "_q_1": "0D"})
     sizes = [1]
     while sizes[-1] * _RADIX <= 24 * max(days):
         rows = sizes[-1]
         parts = [(rows, i * rows) for i in range(_RADIX)]
-        df = _lagged_stats(df, parts, w)
-        merged = _merge([_piece(*p) for p in parts])
-        rows *= _RADIX
-        df = df.withColumns(dict(zip((f"_{k}_{rows}" for k in "nsq"), merged)))
-        sizes.append(rows)
+        stats = df.columns
+        df = _merged(_lagged_stats(df, parts, over), {f"{rows * _RADIX}": [_piece(*p) for p in parts]}, stats)
+        sizes.append(rows * _RADIX)
     plans = {}
     for d in days:
         back, left, parts = 1, 24 * d, []
@@ -102,13 +102,13 @@ def with_rolling(df: DataFrame, column: str, days, w: WindowSpec) -> DataFrame:
                 parts.append((rows, back))
                 back, left = back + rows, left - rows
         plans[d] = parts
-    df = _lagged_stats(df, sorted({p for parts in plans.values() for p in parts}), w)
+    df = _lagged_stats(df, sorted({p for parts in plans.values() for p in parts}), over)
+    df = _merged(df, {f"{d}d": [_piece(*p) for p in parts] for d, parts in plans.items()}, kept)
     out = {}
-    for d, parts in plans.items():
-        n, s, q = _merge([_piece(*p) for p in parts])
-        out[f"{column}_roll_mean_{d}d"] = s / F.nullif(n, F.lit(0.0))
-        out[f"{column}_roll_std_{d}d"] = F.when(n > 1, F.sqrt(q / F.nullif(n - 1, F.lit(0.0)))).otherwise(0.0)
-    return df.select(*kept, *[c.alias(name) for name, c in out.items()])
+    for d in days:
+        out[f"{column}_roll_mean_{d}d"] = f"if(_n_{d}d > 0D, _m_{d}d, NULL)"
+        out[f"{column}_roll_std_{d}d"] = f"sqrt(_q_{d}d / greatest(_n_{d}d - 1D, 1D))"
+    return df.selectExpr(*[f"`{c}`" for c in kept], *[f"{e} AS `{name}`" for name, e in out.items()])
 
 
 # ---- operators -----------------------------------------------------------------------------
@@ -126,7 +126,7 @@ def pollutant_lags(df: DataFrame, spec: ObsSpec) -> DataFrame:
 def rolling_features(df: DataFrame, spec: ObsSpec, column: str | None = None, days=S.ROLLING_DAYS) -> DataFrame:
     column = column or spec.target
     blocked = B.in_blocks(B.with_position(df, spec), spec, before=24 * max(days))
-    return with_rolling(blocked, column, days, B.block_window(spec)).where(B.OWN).drop(B.POS, B.BLOCK, B.OWN)
+    return with_rolling(blocked, column, days, B.block_over(spec)).where(B.OWN).drop(B.POS, B.BLOCK, B.OWN)
 
 
 def rolling_strict(df: DataFrame, spec: ObsSpec, column: str | None = None, rows: int = 24) -> DataFrame:
@@ -203,21 +203,18 @@ def _ewm(df: DataFrame, spec: ObsSpec, column: str, length: int, spans) -> DataF
     Inside a sub-block this is ``q**j * sum(a*x[i] * q**-i)``, a running sum; the sub-block before
     contributes its last value times ``q**(j+1)``; older ones are below double precision.
     """
-    inside = W.partitionBy(spec.entity, B.BLOCK, B.SUB).orderBy(B.POS).rowsBetween(W.unboundedPreceding, 0)
-    across = _sub_window(spec).rowsBetween(W.unboundedPreceding, -1)
-    j, source = F.col("_j"), F.col("_shifted")
-    seeded = F.col(B.POS) == 1
+    inside = f"PARTITION BY `{spec.entity}`, {B.BLOCK}, {B.SUB} ORDER BY {B.POS} ROWS UNBOUNDED PRECEDING"
+    across = f"{B.block_over(spec, B.SUB)} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     locals_, results = {}, {}
     for span in spans:
-        a = 2 / (span + 1)
-        down = F.exp(-j * F.lit(_decay(span)))
-        term = source * F.when(seeded, F.lit(1.0)).otherwise(F.lit(a)) * F.exp(j * F.lit(_decay(span)))
-        locals_[f"_loc_{span}"] = F.sum(term).over(inside) * down
-        local = F.col(f"_loc_{span}")
-        carry = F.last(F.when(j == length - 1, local), ignorenulls=True).over(across)
-        value = local + F.coalesce(carry, F.lit(0.0)) * F.lit(1 - a) * down
-        results[f"{column}_ewm_{span}h"] = F.when(source.isNotNull(), value)
-    return df.withColumns(locals_).withColumns(results).drop(*locals_)
+        a, decay = 2 / (span + 1), f"{_decay(span)!r}D"
+        down = f"exp(-_j * {decay})"
+        term = f"_shifted * if({B.POS} = 1, 1D, {a!r}D) * exp(_j * {decay})"
+        locals_[f"_loc_{span}"] = f"sum({term}) OVER ({inside}) * {down}"
+        carry = f"last(if(_j = {length - 1}, _loc_{span}, NULL), true) OVER ({across})"
+        value = f"_loc_{span} + coalesce({carry}, 0D) * {1 - a!r}D * {down}"
+        results[f"{column}_ewm_{span}h"] = f"if(_shifted IS NOT NULL, {value}, NULL)"
+    return _with_exprs(_with_exprs(df, locals_), results).drop(*locals_)
 
 
 def _shifted(column: str, w: WindowSpec) -> Column:
@@ -263,7 +260,7 @@ def all_features(df: DataFrame, spec: ObsSpec) -> DataFrame:
     exprs |= diff_exprs(column, w)
     exprs[f"{column}_pct_1h"] = pct_expr(F.col(column), F.lag(column, 1).over(w))
     exprs["_shifted"] = _shifted(column, w)
-    rolled = with_rolling(blocked, column, S.ROLLING_DAYS, w)
+    rolled = with_rolling(blocked, column, S.ROLLING_DAYS, B.block_over(spec, B.SUB))
     rows = _ewm(rolled.withColumns(exprs), spec, column, length, spans).where(B.OWN)
     return time_features(ratio_features(rows), spec.time).select(*df.columns, *feature_names(df, spec))
 

@@ -9,7 +9,7 @@ in 250,000 reaches the last pass, besides repeated values, which are counted bef
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, Window as W
+from pyspark.sql import Column, DataFrame, functions as F
 
 ACCURACY = 1000
 BINS = 1024
@@ -20,11 +20,16 @@ def _small(df: DataFrame, by: list[str]) -> DataFrame:
     return df if by else F.broadcast(df)
 
 
+def _names(columns) -> str:
+    return ", ".join(f"`{c}`" for c in columns)
+
+
 def long_values(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
     """(by, column, value) without nulls and NaN; a projection, no shuffle."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-    flat = df.select(*by, F.explode(cells).alias("cell")).select(*by, "cell.column", "cell.value")
-    return flat.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    cells = ", ".join(f"struct('{c}' AS column, CAST(`{c}` AS DOUBLE) AS value)" for c in columns)
+    keys = [f"`{k}`" for k in by]
+    flat = df.selectExpr(*keys, f"inline(array({cells}))")
+    return flat.where("value IS NOT NULL AND NOT isnan(value)")
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: list[str] = ()) -> DataFrame:
@@ -36,79 +41,82 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: l
 
     margin = 2.0 / ACCURACY
     asked = [p for q in probs for p in (max(q - margin, 0.0), min(q + margin, 1.0))]
+    cuts = ", ".join(f"{p!r}D" for p in asked)
     sketch = values.groupBy(*key).agg(
-        F.count("*").alias("n"),
-        F.min("value").alias("least"),
-        F.max("value").alias("most"),
-        F.percentile_approx("value", asked, ACCURACY).alias("cuts"),
+        F.expr("count(*) AS n"),
+        F.expr("min(value) AS least"),
+        F.expr("max(value) AS most"),
+        F.expr(f"percentile_approx(value, array({cuts}), {ACCURACY}) AS cuts"),
     )
-    slots = F.array(
-        *[
-            F.struct(
-                F.lit(float(q)).alias("prob"),
-                (F.col("least") if q - margin <= 0 else F.col("cuts")[2 * i]).alias("low"),
-                (F.col("most") if q + margin >= 1 else F.col("cuts")[2 * i + 1]).alias("high"),
-            )
-            for i, q in enumerate(probs)
-        ]
+    slots = ", ".join(
+        f"struct({float(q)!r}D AS prob, {'least' if q - margin <= 0 else f'cuts[{2 * i}]'} AS low, "
+        f"{'most' if q + margin >= 1 else f'cuts[{2 * i + 1}]'} AS high)"
+        for i, q in enumerate(probs)
+    )
+    # the wanted ranks are first and second, 0-based; part is the weight of the second
+    brackets = (
+        sketch.selectExpr(_names_each(key, "n", f"inline(array({slots}))"))
+        .selectExpr("*", "prob * (n - 1) AS rank")
+        .selectExpr("*", "floor(rank) AS first", "ceil(rank) AS second", f"(high - low) / {BINS}D AS width")
     )
-    brackets = sketch.select(*key, "n", F.explode(slots).alias("s")).select(*key, "n", "s.*")
-
     # bin -1 is everything below the bracket, bin BINS everything above it
-    placed = values.join(_small(brackets, by), key)
-    width = (F.col("high") - F.col("low")) / BINS
-    inner = F.least(F.floor((F.col("value") - F.col("low")) / F.nullif(width, F.lit(0.0))), F.lit(BINS - 1)).cast("int")
-    placed = placed.withColumn(
-        "bin",
-        F.when(F.col("value") < F.col("low"), -1)
-        .when(F.col("value") > F.col("high"), BINS)
-        .when(width <= 0, 0)
-        .otherwise(inner),
+    placed = values.join(_small(brackets, by), key).selectExpr(
+        "*",
+        f"""CASE WHEN value < low THEN -1 WHEN value > high THEN {BINS} WHEN width <= 0 THEN 0
+        ELSE CAST(least(floor((value - low) / nullif(width, 0D)), {BINS - 1}) AS INT) END AS bin""",
+    )
+    slot_names = _names(slot)
+    bins = placed.groupBy(*slot, "bin").agg(
+        F.expr("count(*) AS m"), F.expr("first(first) AS first"), F.expr("first(second) AS second")
     )
-    # rank k (0-based) is the wanted one, with k + 1 for interpolation
-    rank = F.col("prob") * (F.col("n") - 1)
-    first = F.floor(rank)
-    second = F.ceil(rank)
-    bins = placed.groupBy(*slot, "bin").agg(F.count("*").alias("m"), F.first("n").alias("n"))
-    running = W.partitionBy(*slot).orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
     wanted = (
-        bins.withColumn("below", F.coalesce(F.sum("m").over(running), F.lit(0)))
-        .where((F.col("below") <= second) & (F.col("below") + F.col("m") > first))
-        .select(*slot, "bin", "below")
+        bins.selectExpr(
+            "*", f"coalesce(sum(m) OVER (PARTITION BY {slot_names} ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below"
+        )
+        .where("below <= second AND below + m > first")
+        .selectExpr(_names_each(slot, "bin", "below"))
     )
     by_value = (
         placed.join(_small(wanted, by), [*slot, "bin"])
         .groupBy(*slot, "bin", "value")
-        .agg(F.count("*").alias("m"), F.first("n").alias("n"), F.first("below").alias("below"))
+        .agg(
+            F.expr("count(*) AS m"), F.expr("first(below) AS below"), F.expr("first(rank) AS rank"),
+            F.expr("first(first) AS first"), F.expr("first(second) AS second"),
+        )
+    )
+    ranked = by_value.selectExpr(
+        "*", f"below + coalesce(sum(m) OVER (PARTITION BY {slot_names}, bin ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead"
     )
-    inside = W.partitionBy(*slot, "bin").orderBy("value").rowsBetween(W.unboundedPreceding, -1)
-    ranked = by_value.withColumn("ahead", F.col("below") + F.coalesce(F.sum("m").over(inside), F.lit(0)))
-
-    def at(k: Column) -> Column:
-        return F.max(F.when((F.col("ahead") <= k) & (F.col("ahead") + F.col("m") > k), F.col("value")))
-
     found = ranked.groupBy(*slot).agg(
-        at(first).alias("a"), at(second).alias("b"), F.first(rank - first).alias("part")
+        F.expr("max(if(ahead <= first AND ahead + m > first, value, NULL)) AS a"),
+        F.expr("max(if(ahead <= second AND ahead + m > second, value, NULL)) AS b"),
+        F.expr("first(rank - first) AS part"),
     )
-    return found.select(*slot, (F.col("a") + (F.col("b") - F.col("a")) * F.col("part")).alias("value"))
+    return found.selectExpr(_names_each(slot, "a + (b - a) * part AS value"))
+
+
+def _names_each(columns, *more: str) -> list[str]:
+    return [*[f"`{c}`" for c in columns], *more]
+
+
+def pick(columns: dict[str, tuple[str, float]]) -> list[Column]:
+    """Aggregates that spread (column, prob, value) rows into columns: output name -> (column, prob)."""
+    return [
+        F.expr(f"max(if(column = '{c}' AND prob = {float(p)!r}D, value, NULL)) AS `{name}`") for name, (c, p) in columns.items()
+    ]
 
 
 def quantiles_wide(df: DataFrame, names: dict[str, tuple[str, float]], by: list[str] = ()) -> DataFrame:
     """One row per group with a column per entry of ``names``: output name -> (column, prob)."""
     columns = sorted({c for c, _ in names.values()})
     probs = sorted({p for _, p in names.values()})
-    found = exact_quantiles(df, columns, probs, by)
-    picks = [
-        F.max(F.when((F.col("column") == c) & (F.col("prob") == F.lit(float(p))), F.col("value"))).alias(name)
-        for name, (c, p) in names.items()
-    ]
-    return found.groupBy(*by).agg(*picks)
+    return exact_quantiles(df, columns, probs, by).groupBy(*by).agg(*pick(names))
 
 
 def with_parameters(df: DataFrame, parameters: DataFrame, by: list[str] = ()) -> tuple[DataFrame, Column]:
     """Bring fitted parameters next to the rows: a scalar subquery when there is one row for all, else a
     left join on the group, for which adaptive execution measures the size and splits a hot group."""
-    packed = F.struct(*[F.col(c) for c in parameters.columns if c not in by]).alias("_fit")
+    packed = F.struct(*[c for c in parameters.columns if c not in by]).alias("_fit")
     if not by:
         return df, parameters.select(packed).scalar()
     return df.join(parameters.select(*by, packed), list(by), "left"), F.col("_fit")

@@ -4,30 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from aqspark.operators.quantiles import exact_quantiles, with_parameters
+from aqspark.operators.quantiles import exact_quantiles
 
 
 def scale_parameters(train: DataFrame, columns: list[str]) -> DataFrame:
     """(column, center, scale); a column without spread keeps scale 1."""
-    q = exact_quantiles(train, columns, [0.25, 0.5, 0.75])
-
-    def at(p):
-        return F.max(F.when(F.col("prob") == F.lit(p), F.col("value")))
-
-    spread = at(0.75) - at(0.25)
-    return q.groupBy("column").agg(
-        at(0.5).alias("center"), F.when(spread == 0, F.lit(1.0)).otherwise(spread).alias("scale")
-    )
+    names = {"q1": 0.25, "center": 0.5, "q3": 0.75}
+    picks = [F.expr(f"max(if(prob = {p}D, value, NULL)) AS {name}") for name, p in names.items()]
+    wide = exact_quantiles(train, columns, list(names.values())).groupBy("column").agg(*picks)
+    return wide.selectExpr("column", "center", "if(q3 = q1, 1D, q3 - q1) AS scale")
 
 
 def apply_scale(df: DataFrame, parameters: DataFrame, columns: list[str]) -> DataFrame:
-    # one row of at most two numbers per column
-    wide = parameters.agg(
-        *[F.max(F.when(F.col("column") == c, F.col("center"))).alias(f"{c}__c") for c in columns],
-        *[F.max(F.when(F.col("column") == c, F.col("scale"))).alias(f"{c}__s") for c in columns],
-    )
-    joined, fit = with_parameters(df, wide)
-    return joined.withColumns({c: (F.col(c) - fit[f"{c}__c"]) / fit[f"{c}__s"] for c in columns}).select(*df.columns)
+    # two numbers per column
+    fitted = parameters.agg(F.map_from_entries(F.collect_list(F.struct("column", F.struct("center", "scale"))))).scalar()
+    out = df.withColumn("_fit", fitted)
+    scaled = {c: f"(`{c}` - _fit['{c}'].center) / _fit['{c}'].scale" for c in columns}
+    return out.selectExpr(*[f"{scaled[c]} AS `{c}`" if c in scaled else f"`{c}`" for c in df.columns])
 
 
 def robust_scale(df: DataFrame, columns: list[str], split: str | None = "split") -> DataFrame:

@@ -115,7 +115,8 @@ def latest_payload(history: DataFrame, current: DataFrame, spec: ObsSpec) -> Dat
     )
     recent = Fc.last_n(history.join(asked, spec.entity, "left_semi"), spec, Ft.feature_reach() + 1)
     context = recent.unionByName(now, allowMissingColumns=True)
-    filled = C.fill(context, spec.with_(seq=None), list(S.WEATHER))
+    # the windows below read this more than once; it is small, at most the reach of a feature per entity
+    filled = stage(C.fill(context, spec.with_(seq=None), list(S.WEATHER)), "context")
     featured = Ft.all_features(filled, spec.with_(seq=None))
     return zero_fill_payload(Fc.last_n(featured, spec.with_(seq=None), 1))
 
@@ -171,8 +172,9 @@ def forecast_job(
     recent = Fc.last_n(history.join(current.select(spec.entity).distinct(), spec.entity, "left_semi"), spec, history_rows)
     seq = "_seq"
     observed = Fc.append_observation(recent.select(*known).withColumn(seq, F.lit(0)), current.withColumn(seq, F.lit(1)), plain)
-    cleaned = stage(clean_data(observed, plain.with_(seq=seq), entities).drop(seq), "forecast")
-    featured = C.drop_incomplete(Ft.all_features(handle_missing(cleaned, plain), plain))
+    cleaned = stage(clean_data(observed, plain.with_(seq=seq), entities).drop(seq), "cleaned")
+    imputed = stage(handle_missing(cleaned, plain), "imputed")
+    featured = C.drop_incomplete(Ft.all_features(imputed, plain))
     carry = [c for c in S.WEATHER if c in featured.columns]
     future = Fc.future_features(featured, plain, days * 24, carry)
     hourly = stage(Fc.forecast(future, model, features, plain), "hourly")
