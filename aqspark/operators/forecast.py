@@ -56,8 +56,9 @@ def simulated_value(last: Column, slope: Column, step: Column, hour: Column) ->
     """Trend held to 24 steps of at most 2.5 each, plus a daily wave of height 4, inside the index range."""
     # 2.5, 24, 4, 0 and 500
     wave = 4 * F.sin(F.lit(2 * math.pi) * hour / F.lit(24.0))
-    trend = X.clip(slope, -2.5, 2.5) * F.least(step, F.lit(24))
-    return X.clip(last + trend + wave, S.AQI_MIN, S.AQI_MAX)
+    # no argument is ever null here, so plain bounds do
+    trend = F.least(F.greatest(slope, F.lit(-2.5)), F.lit(2.5)) * F.least(step, F.lit(24))
+    return F.least(F.greatest(last + trend + wave, F.lit(S.AQI_MIN)), F.lit(S.AQI_MAX))
 
 
 def _steps(df: DataFrame, spec: ObsSpec, hours: int) -> DataFrame:
@@ -73,8 +74,8 @@ def _steps(df: DataFrame, spec: ObsSpec, hours: int) -> DataFrame:
 
 
 def _simulated(spec: ObsSpec, step: Column) -> Column:
-    at = F.col(spec.time) + F.make_dt_interval(hours=step)
-    return simulated_value(F.col("_last"), F.col("_slope"), step, F.hour(at))
+    # the wave depends on the hour of the day only
+    return simulated_value(F.col("_last"), F.col("_slope"), step, (F.hour(spec.time) + step) % 24)
 
 
 def simulated_path(df: DataFrame, spec: ObsSpec, hours: int = S.HORIZON) -> DataFrame:

@@ -27,10 +27,15 @@ def clean_data(df: DataFrame, spec: ObsSpec, entities=None) -> DataFrame:
 
 
 def handle_missing(df: DataFrame, spec: ObsSpec, by: list[str] = ()) -> DataFrame:
-    """Forward fill, backward fill, then medians for columns an entity never reported."""
+    """Forward fill, backward fill, then medians for columns an entity never reported.
+
+    The filled table is written once; one pass tells which columns still need a median, mostly none.
+    """
     columns = [c for c in C.numeric_columns(df) if c != spec.seq]
-    filled = C.fill(df, spec, columns)
-    return C.median_impute(filled, columns, by)
+    filled = stage(C.fill(df, spec, columns), "filled")
+    nulls = {r["column"]: r["nulls"] for r in C.null_profile(filled.select(*columns)).collect()}
+    missing = [c for c in columns if nulls[c]]
+    return C.median_impute(filled, missing, by) if missing else filled
 
 
 @dataclass
@@ -71,8 +76,9 @@ def preprocess_job(
     cleaned = stage(clean_data(raw, spec, entities), "cleaned")
     if cleaned.isEmpty():
         raise ValueError("no rows left after cleaning")
-    imputed = stage(handle_missing(cleaned, plain), "imputed")
-    capped = C.winsorise(imputed)
+    imputed = handle_missing(cleaned, plain)
+    # fences are fitted on the written table; the capped rows are read twice by the feature windows
+    capped = stage(C.winsorise(imputed), "capped")
     featured = capped if "hour" in capped.columns else Ft.all_features(capped, plain)
     complete = C.drop_incomplete(featured)
     if processed_path:
@@ -94,8 +100,8 @@ def backfill_job(raw: DataFrame, spec: ObsSpec, path: str | None, entities=None,
     into the table at ``path`` if one is given."""
     plain = spec.with_(seq=None)
     cleaned = stage(clean_data(raw, spec, entities), "cleaned")
-    imputed = stage(handle_missing(cleaned, plain, by=[spec.entity]), "imputed")
-    capped = C.winsorise(imputed, by=[spec.entity])
+    imputed = handle_missing(cleaned, plain, by=[spec.entity])
+    capped = stage(C.winsorise(imputed, by=[spec.entity]), "capped")
     featured = C.drop_incomplete(Ft.all_features(capped, plain))
     return featured if path is None else St.upsert_features(path, featured, plain, shards)
 
@@ -173,8 +179,9 @@ def forecast_job(
     seq = "_seq"
     observed = Fc.append_observation(recent.select(*known).withColumn(seq, F.lit(0)), current.withColumn(seq, F.lit(1)), plain)
     cleaned = stage(clean_data(observed, plain.with_(seq=seq), entities).drop(seq), "cleaned")
-    imputed = stage(handle_missing(cleaned, plain), "imputed")
-    featured = C.drop_incomplete(Ft.all_features(imputed, plain))
+    imputed = handle_missing(cleaned, plain)
+    # a small table, and a plan of its own: the optimizer is slow on the filter and the rank together
+    featured = stage(C.drop_incomplete(Ft.all_features(imputed, plain)), "featured")
     carry = [c for c in S.WEATHER if c in featured.columns]
     future = Fc.future_features(featured, plain, days * 24, carry)
     hourly = stage(Fc.forecast(future, model, features, plain), "hourly")
