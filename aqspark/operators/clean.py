@@ -66,65 +66,46 @@ def _order_value(spec: ObsSpec) -> Column:
     return F.col(spec.time) if len(spec.order) == 1 else F.struct(*spec.order)
 
 
-def _fill_carries(df: DataFrame, spec: ObsSpec, columns: list[str]) -> DataFrame:
-    """Per (entity, bucket): the last known value ahead of the bucket, and the entity's first known one."""
+def _carriers(cut: DataFrame, spec: ObsSpec, columns: list[str], forward: bool, backward: bool) -> DataFrame:
+    """One row per (entity, bucket) with the values its leading gaps take (forward), or its trailing gaps
+    (backward only)."""
+
     def known(c):
         return F.when(F.col(c).isNotNull(), _order_value(spec))
 
-    ends = df.groupBy(spec.entity, BUCKET).agg(
+    ends = cut.groupBy(spec.entity, BUCKET).agg(
         *[F.max_by(c, known(c)).alias(f"_last_{c}") for c in columns],
         *[F.min_by(c, known(c)).alias(f"_first_{c}") for c in columns],
     )
     by_entity = W.partitionBy(spec.entity).orderBy(BUCKET)
-    ahead = by_entity.rowsBetween(W.unboundedPreceding, -1)
-    everything = by_entity.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    return ends.select(
-        spec.entity,
-        BUCKET,
-        *[F.last(f"_last_{c}", ignorenulls=True).over(ahead).alias(f"_before_{c}") for c in columns],
-        *[F.first(f"_first_{c}", ignorenulls=True).over(everything).alias(f"_head_{c}") for c in columns],
-    )
+    earlier = by_entity.rowsBetween(W.unboundedPreceding, -1)
+    later = by_entity.rowsBetween(1, W.unboundedFollowing)
+    whole = by_entity.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+
+    def value(c):
+        if not forward:
+            return F.first(f"_first_{c}", ignorenulls=True).over(later)
+        before = F.last(f"_last_{c}", ignorenulls=True).over(earlier)
+        return F.coalesce(before, F.first(f"_first_{c}", ignorenulls=True).over(whole)) if backward else before
+
+    return ends.select(spec.entity, BUCKET, *[value(c).alias(c) for c in columns])
 
 
 def fill(df: DataFrame, spec: ObsSpec, columns: list[str] | None = None, forward: bool = True, backward: bool = True) -> DataFrame:
     """Forward fill, then backward fill, per entity.
 
-    A task sees one (entity, bucket); what reaches over a bucket's edge comes from a small table of one
-    row per bucket. With both directions only leading gaps are left for the backward fill, which takes
-    the entity's first known value.
+    A task sees one (entity, bucket). What reaches over a bucket's edge comes from one extra row per bucket
+    that sorts ahead of the others and carries the value to start with: the last known one before the bucket,
+    or, where there is none, the entity's first known one, which is all that is left for the backward fill.
     """
     columns = [c for c in (columns or numeric_columns(df)) if c not in spec.order]
     cut = df.withColumn(BUCKET, calendar_bucket(spec))
-    if backward and not forward:
-        # the mirrored forward fill
-        return _fill_backward(df, spec, columns)
-    carried = cut.join(_fill_carries(cut, spec, columns).hint("merge"), [spec.entity, BUCKET])
-    upto = W.partitionBy(spec.entity, BUCKET).orderBy(*spec.order).rowsBetween(W.unboundedPreceding, 0)
-
-    def filled(c: str) -> Column:
-        parts = [F.last(c, ignorenulls=True).over(upto), F.col(f"_before_{c}")]
-        return F.coalesce(*parts, *([F.col(f"_head_{c}")] if backward else []))
-
-    return carried.withColumns({c: filled(c) for c in columns}).select(*df.columns)
-
-
-def _fill_backward(df: DataFrame, spec: ObsSpec, columns: list[str]) -> DataFrame:
-    cut = df.withColumn(BUCKET, calendar_bucket(spec))
-    heads = cut.groupBy(spec.entity, BUCKET).agg(
-        *[F.min_by(c, F.when(F.col(c).isNotNull(), _order_value(spec))).alias(f"_first_{c}") for c in columns]
-    )
-    later = W.partitionBy(spec.entity).orderBy(BUCKET).rowsBetween(1, W.unboundedFollowing)
-    carries = heads.select(
-        spec.entity,
-        BUCKET,
-        *[F.first(f"_first_{c}", ignorenulls=True).over(later).alias(f"_after_{c}") for c in columns],
-    )
-    onward = W.partitionBy(spec.entity, BUCKET).orderBy(*spec.order).rowsBetween(0, W.unboundedFollowing)
-    return (
-        cut.join(carries.hint("merge"), [spec.entity, BUCKET])
-        .withColumns({c: F.coalesce(F.first(c, ignorenulls=True).over(onward), F.col(f"_after_{c}")) for c in columns})
-        .select(*df.columns)
-    )
+    heads = _carriers(cut, spec, columns, forward, backward).withColumn("_row", F.lit(0))
+    both = cut.withColumn("_row", F.lit(1)).unionByName(heads, allowMissingColumns=True)
+    order = [F.col(c) if forward else F.col(c).desc() for c in spec.order]
+    upto = W.partitionBy(spec.entity, BUCKET).orderBy("_row", *order).rowsBetween(W.unboundedPreceding, 0)
+    held = {c: F.last(c, ignorenulls=True).over(upto) for c in columns}
+    return both.withColumns(held).where(F.col("_row") == 1).select(*df.columns)
 
 
 def forward_fill(df: DataFrame, spec: ObsSpec, columns: list[str] | None = None) -> DataFrame:

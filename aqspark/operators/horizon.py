@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, Window as W
 from pyspark.sql import types as T
 
 from aqspark import spec as S
@@ -51,19 +51,27 @@ def horizon_targets(df: DataFrame, spec: ObsSpec, hours: int = S.HORIZON) -> Dat
 def horizon_targets_time(df: DataFrame, spec: ObsSpec, hours: int = S.HORIZON) -> DataFrame:
     """Like :func:`horizon_targets`, but the target is the value at the very hour ``time + h``.
 
-    Only (key, value) is expanded and joined from the target's side: a reading is the h-hour target
-    of the row h hours earlier. The key must be unique.
+    Groups are (entity, calendar bucket); readings of the first ``hours`` hours of a bucket are copied into
+    the bucket before it, so each group holds all the readings its rows look at.
     """
-    futures = df.where(F.col(spec.target).isNotNull()).select(
-        F.col(spec.entity),
-        F.col(spec.time).alias("_at"),
-        F.col(spec.target).alias(TARGET),
-        F.explode(F.sequence(F.lit(1), F.lit(hours))).alias(OFFSET),
+    days = -(-hours // 24)
+    wide = spec.with_(bucket_days=max(spec.bucket_days, days))
+    bucket, edge = B.calendar_bucket(wide), F.date_sub(F.col(spec.time).cast("date"), days)
+    before = B.calendar_bucket(wide.with_(time="_edge"))
+    copies = F.when(before < bucket, F.array(bucket, before)).otherwise(F.array(bucket))
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    placed = (
+        df.withColumns({"_us": F.timestamp_diff("MICROSECOND", epoch, F.col(spec.time)), "_edge": edge})
+        .withColumn("_g", F.explode(copies))
+        .withColumn("_own", F.col("_g") == bucket)
     )
-    futures = futures.select(
-        spec.entity, (F.col("_at") - F.make_dt_interval(hours=F.col(OFFSET))).alias(spec.time), OFFSET, TARGET
-    )
-    return df.join(futures, spec.key).select(*df.columns, OFFSET, TARGET)
+    hour = 3_600_000_000
+    ahead = W.partitionBy(spec.entity, "_g").orderBy("_us").rangeBetween(hour, hours * hour)
+    found = F.collect_list(F.struct(F.col("_us").alias("at"), F.col(spec.target).alias("v"))).over(ahead)
+    rows = placed.withColumn(NEXT, found).where("_own")
+    exact = F.filter(NEXT, lambda e: ((e["at"] - F.col("_us")) % hour == 0) & e["v"].isNotNull())
+    numbered = F.transform(exact, lambda e: F.struct(((e["at"] - F.col("_us")) / hour).cast("int").alias("h"), e["v"].alias("v")))
+    return expand_horizons(rows.withColumn(NEXT, numbered).select(*df.columns, NEXT))
 
 
 def feature_columns(df: DataFrame, target: str = TARGET, spec: ObsSpec = ObsSpec()) -> list[str]:
