@@ -10,18 +10,36 @@ from pyspark.ml import Transformer
 from aqspark import spec as S
 from aqspark.functions import scalar as X
 from aqspark.functions.calendar import CALENDAR, CYCLIC, calendar_parts, cyclic_parts
+from aqspark.operators.blocks import BUCKET, calendar_bucket
 from aqspark.operators.horizon import OFFSET
 from aqspark.spec import ObsSpec
 
 FUTURE_POLLUTANTS = S.POLLUTANTS
 
 
+# Spark limits window groups before the shuffle only up to this many rows (its default threshold)
+_GROUP_LIMIT = 1000
+
+
 def last_n(df: DataFrame, spec: ObsSpec, n: int, keep_rank: str | None = None) -> DataFrame:
-    """The latest ``n`` rows of every entity. Spark limits each group before the shuffle, so a hot
-    entity sends at most ``n`` rows per task."""
-    w = W.partitionBy(spec.entity).orderBy(*[F.col(c).desc() for c in spec.order])
-    ranked = df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= n)
-    return ranked.drop("_rank") if keep_rank is None else ranked.withColumnRenamed("_rank", keep_rank)
+    """The latest ``n`` rows of every entity.
+
+    For small ``n`` Spark limits each group before the shuffle, so a hot entity sends at most ``n`` rows per
+    task. For larger ``n`` the counts per (entity, bucket) tell which buckets the rows are in; older buckets are
+    dropped, and rows are ranked inside their bucket.
+    """
+    newest = [F.col(c).desc() for c in spec.order]
+    out = keep_rank or "_rank"
+    if n <= _GROUP_LIMIT:
+        ranked = df.withColumn(out, F.row_number().over(W.partitionBy(spec.entity).orderBy(*newest)))
+    else:
+        cut = df.withColumn(BUCKET, calendar_bucket(spec))
+        later = W.partitionBy(spec.entity).orderBy(F.col(BUCKET).desc()).rowsBetween(W.unboundedPreceding, -1)
+        counts = cut.groupBy(spec.entity, BUCKET).agg(F.count("*").alias("_n"))
+        needed = counts.withColumn("_later", F.coalesce(F.sum("_n").over(later), F.lit(0))).where(F.col("_later") < n)
+        inside = F.row_number().over(W.partitionBy(spec.entity, BUCKET).orderBy(*newest))
+        ranked = cut.join(needed.drop("_n"), [spec.entity, BUCKET]).withColumn(out, F.col("_later") + inside)
+    return ranked.where(F.col(out) <= n).select(*df.columns, *([keep_rank] if keep_rank else []))
 
 
 def head_n(df: DataFrame, order: list[str], n: int) -> DataFrame:

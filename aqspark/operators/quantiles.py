@@ -3,8 +3,8 @@
 ``percentile`` keeps every distinct value of a group in one task, and ``percentile_approx`` is not
 exact. Here three passes share the work: (1) a small mergeable sketch brackets each wanted rank,
 (2) equal-width bins inside the bracket are counted, (3) only the values of the one or two bins
-that hold the wanted ranks are counted by value and ranked. With the default accuracy about one row
-in 250,000 reaches the last pass, besides repeated values, which are counted before they move.
+that hold the wanted ranks are counted by value and ranked. Where values are spread evenly inside the
+bracket about one row in 250,000 reaches the last pass; repeated values are counted before they move.
 """
 
 from __future__ import annotations

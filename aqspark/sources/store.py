@@ -72,14 +72,13 @@ def upsert_features(path: str, incoming: DataFrame, spec: ObsSpec, shards: int =
     spark = incoming.sparkSession
     batch = stage(prepare_for_store(incoming, spec).withColumns(partition_columns(spec, shards)), "upsert")
     if _exists(spark, path):
-        # at most one row per partition folder
-        touched = batch.select(MONTH, SHARD).distinct().collect()
-        months = sorted({r[0] for r in touched})
+        # at most one row per partition folder; the two lists prune the scan, the join picks the pairs
+        touched = stage(batch.select(MONTH, SHARD).distinct(), "touched")
+        lists = touched.agg(F.collect_set(MONTH).alias("m"), F.collect_set(SHARD).alias("s")).first()
         table = spark.read.parquet(path)
-        hit = F.col(MONTH).isin(months) & F.struct(F.col(MONTH), F.col(SHARD)).isin(
-            [F.struct(F.lit(m), F.lit(s)) for m, s in touched]
-        )
-        old = table.withColumns({MONTH: F.col(MONTH).cast("string"), SHARD: F.col(SHARD).cast("int")}).where(hit)
+        table = table.withColumns({MONTH: F.col(MONTH).cast("string"), SHARD: F.col(SHARD).cast("int")})
+        pruned = table.where(F.col(MONTH).isin(lists["m"]) & F.col(SHARD).isin(lists["s"]))
+        old = pruned.join(F.broadcast(touched), [MONTH, SHARD], "left_semi")
         result = merged(old, batch, spec)
     else:
         result = merged(batch.limit(0), batch, spec)

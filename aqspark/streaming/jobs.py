@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, Window as W
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from aqspark.operators import features as Ft
+from aqspark.operators.forecast import last_n
 from aqspark.sources import store as St
 from aqspark.sources.staging import stage
 from aqspark.spec import ObsSpec
@@ -70,9 +71,8 @@ def _context(spark: SparkSession, path: str, since: DataFrame, spec: ObsSpec, sh
         older = table.where((month < edge) & F.col(St.SHARD).cast("int").isin(far_shards))
         rows = near.unionByName(older.join(short, spec.entity))
     rows = rows.drop(St.MONTH, St.SHARD)
-    newest = W.partitionBy(spec.entity).orderBy(F.col(spec.time).desc())
-    before = rows.where(F.col(spec.time) < F.col("_since")).withColumn("_r", F.row_number().over(newest))
-    return rows.where(F.col(spec.time) >= F.col("_since")).unionByName(before.where(F.col("_r") <= reach).drop("_r"))
+    before = last_n(rows.where(F.col(spec.time) < F.col("_since")), spec.with_(seq=None), reach)
+    return rows.where(F.col(spec.time) >= F.col("_since")).unionByName(before)
 
 
 def stream_features(
