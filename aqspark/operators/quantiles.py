@@ -10,14 +10,31 @@ bracket about one row in 250,000 reaches the last pass; repeated values are coun
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 ACCURACY = 1000
 BINS = 1024
+SALTS = 32
+# bin -1 is everything below the bracket, bin BINS everything above it
+_BIN = f"""CASE WHEN value < low THEN -1 WHEN value > high THEN {BINS} WHEN high <= low THEN 0
+    ELSE CAST(least(floor((value - low) / nullif((high - low) / {BINS}D, 0D)), {BINS - 1}) AS INT) END"""
 
 
-def _small(df: DataFrame, by: list[str]) -> DataFrame:
-    # Without groups these frames have one row per column and probability.
-    return df if by else F.broadcast(df)
+def _join_parameters(values: DataFrame, parameters: DataFrame, by: list[str]) -> DataFrame:
+    """Rows next to the one parameter row of their column. Without groups there is one per column, which is
+    broadcast. With groups both sides are salted, so the rows of a hot group meet their parameters in many tasks
+    and are combined there before they are shuffled by group."""
+    if not by:
+        return values.join(F.broadcast(parameters), "column")
+    salted = parameters.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return values.join(salted, [*by, "column", "_salt"])
+
+
+def _salt(df: DataFrame, columns: list[str]) -> str:
+    """A salt from what the row holds: the given columns and its times. A task that runs again after a loss
+    sends each row the same way, which a running number would not."""
+    times = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))]
+    return f"CAST(pmod(xxhash64({_names(dict.fromkeys([*columns, *times]))}), {SALTS}) AS INT)"
 
 
 def _names(columns) -> str:
@@ -25,10 +42,11 @@ def _names(columns) -> str:
 
 
 def long_values(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
-    """(by, column, value) without nulls and NaN; a projection, no shuffle."""
+    """(by, column, value) without nulls and NaN; a projection, no shuffle. With groups also ``_salt``."""
     cells = ", ".join(f"struct('{c}' AS column, CAST(`{c}` AS DOUBLE) AS value)" for c in columns)
     keys = [f"`{k}`" for k in by]
-    flat = df.selectExpr(*keys, f"inline(array({cells}))")
+    salt = [f"{_salt(df, columns)} AS _salt"] if by else []
+    flat = df.selectExpr(*keys, *salt, f"inline(array({cells}))")
     return flat.where("value IS NOT NULL AND NOT isnan(value)")
 
 
@@ -49,48 +67,39 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: l
         F.expr(f"percentile_approx(value, array({cuts}), {ACCURACY}) AS cuts"),
     )
     slots = ", ".join(
-        f"struct({float(q)!r}D AS prob, {'least' if q - margin <= 0 else f'cuts[{2 * i}]'} AS low, "
+        f"struct({float(q)!r}D AS prob, {float(q)!r}D * (n - 1) AS rank, {'least' if q - margin <= 0 else f'cuts[{2 * i}]'} AS low, "
         f"{'most' if q + margin >= 1 else f'cuts[{2 * i + 1}]'} AS high)"
         for i, q in enumerate(probs)
     )
-    # the wanted ranks are first and second, 0-based; part is the weight of the second
-    brackets = (
-        sketch.selectExpr(_names_each(key, "n", f"inline(array({slots}))"))
-        .selectExpr("*", "prob * (n - 1) AS rank")
-        .selectExpr("*", "floor(rank) AS first", "ceil(rank) AS second", f"(high - low) / {BINS}D AS width")
-    )
-    # bin -1 is everything below the bracket, bin BINS everything above it
-    placed = values.join(_small(brackets, by), key).selectExpr(
-        "*",
-        f"""CASE WHEN value < low THEN -1 WHEN value > high THEN {BINS} WHEN width <= 0 THEN 0
-        ELSE CAST(least(floor((value - low) / nullif(width, 0D)), {BINS - 1}) AS INT) END AS bin""",
+    brackets = sketch.selectExpr(_names_each(key, f"array({slots}) AS slots"))
+    placed = _join_parameters(values, brackets, by).selectExpr(_names_each(key, "value", "inline(slots)"))
+    bins = placed.groupBy(*slot, F.expr(_BIN).alias("bin")).agg(
+        F.expr("count(*) AS m"), F.expr("first(rank) AS rank"), F.expr("first(low) AS low"), F.expr("first(high) AS high")
     )
+    # the wanted ranks are floor(rank) and ceil(rank), 0-based
     slot_names = _names(slot)
-    bins = placed.groupBy(*slot, "bin").agg(
-        F.expr("count(*) AS m"), F.expr("first(first) AS first"), F.expr("first(second) AS second")
-    )
     wanted = (
         bins.selectExpr(
             "*", f"coalesce(sum(m) OVER (PARTITION BY {slot_names} ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below"
         )
-        .where("below <= second AND below + m > first")
-        .selectExpr(_names_each(slot, "bin", "below"))
+        .where("below <= ceil(rank) AND below + m > floor(rank)")
+        .groupBy(*key)
+        .agg(F.expr("collect_list(struct(prob, rank, low, high, bin AS want, below)) AS slots"))
     )
     by_value = (
-        placed.join(_small(wanted, by), [*slot, "bin"])
-        .groupBy(*slot, "bin", "value")
-        .agg(
-            F.expr("count(*) AS m"), F.expr("first(below) AS below"), F.expr("first(rank) AS rank"),
-            F.expr("first(first) AS first"), F.expr("first(second) AS second"),
-        )
+        _join_parameters(values, wanted, by)
+        .selectExpr(_names_each(key, "value", "inline(slots)"))
+        .where(f"want = {_BIN}")
+        .groupBy(*slot, F.col("want").alias("bin"), "value")
+        .agg(F.expr("count(*) AS m"), F.expr("first(below) AS below"), F.expr("first(rank) AS rank"))
     )
     ranked = by_value.selectExpr(
         "*", f"below + coalesce(sum(m) OVER (PARTITION BY {slot_names}, bin ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead"
     )
     found = ranked.groupBy(*slot).agg(
-        F.expr("max(if(ahead <= first AND ahead + m > first, value, NULL)) AS a"),
-        F.expr("max(if(ahead <= second AND ahead + m > second, value, NULL)) AS b"),
-        F.expr("first(rank - first) AS part"),
+        F.expr("max(if(ahead <= floor(rank) AND ahead + m > floor(rank), value, NULL)) AS a"),
+        F.expr("max(if(ahead <= ceil(rank) AND ahead + m > ceil(rank), value, NULL)) AS b"),
+        F.expr("first(rank - floor(rank)) AS part"),
     )
     return found.selectExpr(_names_each(slot, "a + (b - a) * part AS value"))
 
@@ -115,8 +124,11 @@ def quantiles_wide(df: DataFrame, names: dict[str, tuple[str, float]], by: list[
 
 def with_parameters(df: DataFrame, parameters: DataFrame, by: list[str] = ()) -> tuple[DataFrame, Column]:
     """Bring fitted parameters next to the rows: a scalar subquery when there is one row for all, else a
-    left join on the group, for which adaptive execution measures the size and splits a hot group."""
-    packed = F.struct(*[c for c in parameters.columns if c not in by]).alias("_fit")
+    left join on the group, salted so that a hot group is spread over tasks."""
+    fitted = [c for c in parameters.columns if c not in by]
+    packed = F.struct(*fitted).alias("_fit")
     if not by:
         return df, parameters.select(packed).scalar()
-    return df.join(parameters.select(*by, packed), list(by), "left"), F.col("_fit")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = parameters.select(*by, packed, salts.alias("_salt"))
+    return df.withColumn("_salt", F.expr(_salt(df, df.columns))).join(salted, [*by, "_salt"], "left"), F.col("_fit")
