@@ -22,6 +22,15 @@ def calendar_bucket(spec: ObsSpec) -> Column:
     return F.floor(days / F.lit(spec.bucket_days)).cast("int")
 
 
+def by_group(df: DataFrame, spec: ObsSpec, group: str) -> DataFrame:
+    """Partition by (entity, group) before a window over that pair.
+
+    The window would shuffle that way itself, unless the rows come partitioned by entity alone (after a join
+    on it, say), which Spark would accept, and one task would get a whole series.
+    """
+    return df.repartition(spec.entity, group)
+
+
 def _numbered(bucketed: DataFrame, starts: DataFrame, spec: ObsSpec, then: list[str], weight: str | None, out: str) -> DataFrame:
     """Give each row the start of its bucket plus what comes before it inside the bucket.
 
@@ -35,7 +44,7 @@ def _numbered(bucketed: DataFrame, starts: DataFrame, spec: ObsSpec, then: list[
         inside = F.row_number().over(w) - 2
     else:
         inside = F.coalesce(F.sum(weight).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    both = rows.unionByName(heads, allowMissingColumns=True)
+    both = by_group(rows.unionByName(heads, allowMissingColumns=True), spec, BUCKET)
     start = F.first("_start").over(w.rowsBetween(W.unboundedPreceding, 0))
     return both.withColumn(out, start + inside).where(F.col("_row") == 1).drop("_row", "_start", BUCKET)
 
@@ -74,7 +83,7 @@ def in_blocks(df: DataFrame, spec: ObsSpec, before: int, after: int = 0) -> Data
         .otherwise(F.array(to(0)))
     )
     exploded = df.withColumn("_copy", F.explode(copies))
-    return exploded.select(*df.columns, f"_copy.{BLOCK}", f"_copy.{OWN}")
+    return by_group(exploded.select(*df.columns, f"_copy.{BLOCK}", f"_copy.{OWN}"), spec, BLOCK)
 
 
 def block_window(spec: ObsSpec) -> W:

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from aqspark import spec as S
 from aqspark.functions import scalar as X
-from aqspark.operators.blocks import BUCKET, calendar_bucket
+from aqspark.operators.blocks import BUCKET, by_group, calendar_bucket
 from aqspark.operators.quantiles import quantiles_wide, with_parameters
 from aqspark.spec import ObsSpec
 
@@ -101,7 +101,7 @@ def fill(df: DataFrame, spec: ObsSpec, columns: list[str] | None = None, forward
     columns = [c for c in (columns or numeric_columns(df)) if c not in spec.order]
     cut = df.withColumn(BUCKET, calendar_bucket(spec))
     heads = _carriers(cut, spec, columns, forward, backward).withColumn("_row", F.lit(0))
-    both = cut.withColumn("_row", F.lit(1)).unionByName(heads, allowMissingColumns=True)
+    both = by_group(cut.withColumn("_row", F.lit(1)).unionByName(heads, allowMissingColumns=True), spec, BUCKET)
     order = [F.col(c) if forward else F.col(c).desc() for c in spec.order]
     upto = W.partitionBy(spec.entity, BUCKET).orderBy("_row", *order).rowsBetween(W.unboundedPreceding, 0)
     held = {c: F.last(c, ignorenulls=True).over(upto) for c in columns}

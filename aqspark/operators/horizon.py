@@ -68,7 +68,7 @@ def horizon_targets_time(df: DataFrame, spec: ObsSpec, hours: int = S.HORIZON) -
     hour = 3_600_000_000
     ahead = W.partitionBy(spec.entity, "_g").orderBy("_us").rangeBetween(hour, hours * hour)
     found = F.collect_list(F.struct(F.col("_us").alias("at"), F.col(spec.target).alias("v"))).over(ahead)
-    rows = placed.withColumn(NEXT, found).where("_own")
+    rows = B.by_group(placed, spec, "_g").withColumn(NEXT, found).where("_own")
     exact = F.filter(NEXT, lambda e: ((e["at"] - F.col("_us")) % hour == 0) & e["v"].isNotNull())
     numbered = F.transform(exact, lambda e: F.struct(((e["at"] - F.col("_us")) / hour).cast("int").alias("h"), e["v"].alias("v")))
     return expand_horizons(rows.withColumn(NEXT, numbered).select(*df.columns, NEXT))
