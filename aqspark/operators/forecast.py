@@ -9,7 +9,7 @@ from pyspark.ml import Transformer
 
 from aqspark import spec as S
 from aqspark.functions import scalar as X
-from aqspark.functions.calendar import CALENDAR, CYCLIC, calendar_parts, cyclic_parts
+from aqspark.functions.calendar import calendar_parts, cyclic_parts
 from aqspark.operators.blocks import BUCKET, calendar_bucket
 from aqspark.operators.horizon import OFFSET
 from aqspark.spec import ObsSpec
