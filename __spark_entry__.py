@@ -1316,6 +1316,20 @@ def _(spark, d):
     return show(whole.unionByName(each), ["l_returnflag", "column", "prob"], ["value"])
 
 
+# ---- corpus operators, if that subpackage is installed ---------------------------------------
+
+try:
+    import corpus_pipeline
+    from aqspark.llm import queries as _corpus
+except ImportError:
+    pass
+else:
+    _QUERIES.update(_corpus.QUERIES)
+    _ORACLES.update(_corpus.ORACLES)
+    _QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        _ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 # ---- driver contract -----------------------------------------------------------------------
 
 
