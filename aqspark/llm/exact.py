@@ -16,10 +16,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from aqspark.llm.common import new_path
+from aqspark.llm.common import new_path, stage
 
 BLANKS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
-STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on the executors' disks, without space reserved ahead in each of many small stores.
+STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 _LANDED = "digest binary, points long, id long, at string"
 
 
@@ -52,29 +56,33 @@ class Deduplicator:
     def landed(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/landed")
 
-    def advance(self) -> None:
-        """Take the rows landed since the last call into the state, as a stream that stops when it has read them."""
-        conf, key = self.spark.conf, "spark.sql.streaming.stateStore.providerClass"
-        before = conf.get(key)
-        conf.set(key, STORE)
+    def advance(self) -> DataFrame:
+        """Take the rows landed since the last call into the state, as a stream that stops when it has read them; returns the state.
+
+        Columns: ``digest``, ``keep_id``, ``keep_at`` and ``n``. It is read from the state store once and written as a table.
+        """
+        conf = self.spark.conf
+        before = {k: conf.get(k, None) for k in STORE}
+        for k, v in STORE.items():
+            conf.set(k, v)
         try:
             arrived = self.spark.readStream.schema(_LANDED).parquet(f"{self.path}/landed")
             first = F.max(F.struct("points", F.col("id").isNotNull().alias("known"), (-F.col("id")).alias("low"), "at"))
             state = arrived.groupBy("digest").agg(first.alias("first"), F.count("*").alias("n"))
             state.writeStream.format("noop").outputMode("update").option("checkpointLocation", f"{self.path}/state").trigger(availableNow=True).start().awaitTermination()
+            return stage(self._state(), "state")
         finally:
-            conf.set(key, before)
+            for k, v in before.items():
+                conf.set(k, v) if v is not None else conf.unset(k)
 
-    def state(self) -> DataFrame:
-        """``digest``, ``keep_id``, ``keep_at`` and ``n``, read from the state store."""
+    def _state(self) -> DataFrame:
         kept = self.spark.read.format("statestore").load(f"{self.path}/state")
-        names = kept.schema["value"].dataType.names
-        first, n = (F.col("value").getField(x) for x in names)
+        first, n = (F.col("value").getField(x) for x in kept.schema["value"].dataType.names)
         return kept.select(F.col("key.digest").alias("digest"), (-first["low"]).alias("keep_id"), first["at"].alias("keep_at"), n.alias("n"))
 
-    def decisions(self) -> DataFrame:
-        """Every landed row: ``row``, ``id``, ``at``, ``digest``, ``keep_id``, ``keep_at``, ``group_size``."""
-        landed, state = self.landed(), self.state()
+    def decisions(self, state: DataFrame) -> DataFrame:
+        """By the state of ``advance``, every landed row: ``row``, ``id``, ``at``, ``digest``, ``keep_id``, ``keep_at``, ``group_size``."""
+        landed = self.landed()
         text = normalised(F.col(f"row.`{self.text}`"))
         # hits: equal digests must have equal bytes. The smallest and largest text of a digest are found map-side, so large groups don't meet in one task
         hits = landed.join(state.where("n > 1").select("digest"), "digest", "left_semi")
@@ -94,8 +102,7 @@ def decide(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", key=dige
     """One run over a table: the decisions for every row, and ``kept``."""
     runs = Deduplicator(docs.sparkSession, None, key, doc_id, text)
     runs.land(docs)
-    runs.advance()
-    return runs.decisions().withColumn("kept", F.col("at") == F.col("keep_at"))
+    return runs.decisions(runs.advance()).withColumn("kept", F.col("at") == F.col("keep_at"))
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
