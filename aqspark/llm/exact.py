@@ -16,7 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from aqspark.llm.common import new_path, stage
+from aqspark.llm.common import new_path, small_side, stage
 
 BLANKS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 #: State on the executors' disks, without space reserved ahead in each of many small stores.
@@ -85,7 +85,7 @@ class Deduplicator:
         landed = self.landed()
         text = normalised(F.col(f"row.`{self.text}`"))
         # hits: equal digests must have equal bytes. The smallest and largest text of a digest are found map-side, so large groups don't meet in one task
-        hits = landed.join(state.where("n > 1").select("digest"), "digest", "left_semi")
+        hits = landed.join(small_side(state.where("n > 1").select("digest")), "digest", "left_semi")
         mixed = hits.select("digest", text.alias("text")).groupBy("digest").agg(F.min("text").alias("low"), F.max("text").alias("high")).where("low != high")
         decided = landed.join(state, "digest").select("row", "id", "at", "digest", "keep_id", "keep_at", F.col("n").alias("group_size"))
         different = mixed.select("digest")
