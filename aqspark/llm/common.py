@@ -50,7 +50,7 @@ def prefix(counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def batches(rows: Iterator[pa.RecordBatch], column: str, limit: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def batches(rows: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that one holds about ``limit`` bytes of ``column`` at most, or a single row."""
     for batch in rows:
         if not batch.num_rows:

@@ -174,7 +174,7 @@ def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str
             each = pa.Table.from_batches(got)
             n = pc.list_value_length(each["place"]).to_numpy()
             flat = lambda c: pc.list_flatten(each[c]).to_numpy()
-            theta = fit(np.repeat(np.arange(len(n)), n), flat("place").astype(np.int64), flat("value").astype(float), each["grade"].to_numpy().astype(np.int64))
+            theta = fit(np.repeat(np.arange(len(n), dtype=np.int32), n), flat("place"), flat("value"), each["grade"].to_numpy().astype(np.int64))
             if theta is not None:
                 yield pa.RecordBatch.from_arrays([pa.array([theta], pa.list_(pa.float64()))], names=["theta"])
 
