@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,6 +52,13 @@ def prefix(counts: np.ndarray) -> np.ndarray:
     return out
 
 
+def release() -> None:
+    """Give memory that a worker no longer uses back to the system; workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def batches(rows: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that one holds about ``limit`` bytes of ``column`` at most, or a single row."""
     for batch in rows:
@@ -60,3 +69,5 @@ def batches(rows: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             yield batch.slice(a, b - a)
+        del batch
+        release()

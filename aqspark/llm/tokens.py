@@ -17,8 +17,8 @@ from tokenizers import Tokenizer
 
 from aqspark.llm.common import prefix
 
-#: Distinct pieces that a worker remembers before it starts anew: the bound of its memory, about 200 MB.
-REMEMBERED = 800_000
+#: Distinct pieces that a worker remembers before it starts anew: the bound of its memory, about 120 MB.
+REMEMBERED = 500_000
 _BLANK = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _ENDS = f"^$|^{_BLANK}|{_BLANK}$"
 #: Chunks of other characters are left to the tokenizer whole.
