@@ -19,7 +19,7 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     known = df.select(x.alias("x")).where(F.col("x").isNotNull())
     edges = known.agg(F.min("x").alias("low"), F.max("x").alias("high")).select(F.struct("*")).scalar()
     width = (edges["high"] - edges["low"]) / bins
-    place = F.least(F.floor((F.col("x") - edges["low"]) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))
+    place = F.when(width > 0, F.least(F.floor((F.col("x") - edges["low"]) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1)))
     counts = known.groupBy(F.coalesce(place, F.lit(0)).cast("int").alias("bin")).agg(F.count("*").alias("rows"))
     grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return grid.join(counts, "bin", "left").select(
@@ -48,14 +48,15 @@ def density_curve(df: DataFrame, column: str, points: int = 200) -> DataFrame:
     counted = known.groupBy("x").agg(F.count("*").alias("m"))
     at = shape["low"] + F.col("point") * (shape["high"] - shape["low"]) / F.lit(points - 1)
     spread = counted.select("x", "m", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-    z = (at - F.col("x")) / shape["h"]
+    width = F.nullif(shape["h"], F.lit(0.0))  # a constant column has no curve: its density is null
+    z = (at - F.col("x")) / width
     return (
         spread.groupBy("point")
         .agg(F.sum(F.col("m") * F.exp(-0.5 * z * z)).alias("mass"))
         .select(
             "point",
             at.alias("x"),
-            (F.col("mass") / (shape["n"] * shape["h"] * F.lit(math.sqrt(2 * math.pi)))).alias("density"),
+            (F.col("mass") / (shape["n"] * width * F.lit(math.sqrt(2 * math.pi)))).alias("density"),
         )
     )
 
@@ -68,7 +69,8 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
 
     def pair_corr(a, b):
         x, y = (X.null_if_nan(F.col(c).cast("double")) for c in (a, b))
-        return F.corr(F.when(y.isNotNull(), x), F.when(x.isNotNull(), y))
+        x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+        return F.when((F.min(x) < F.max(x)) & (F.min(y) < F.max(y)), F.corr(x, y))  # null for a constant column
 
     one = df.agg(*[pair_corr(*pair).alias(name[pair]) for pair in upper])
     cells = [

@@ -106,6 +106,8 @@ def temporal_split(
 def sample_hit(i: Column, n: Column, max_rows: int) -> Column:
     """The number k of the sample row that index ``i`` is, or null: kept indices are ``trunc(k * step)``,
     and a row tells by itself whether some k hits it. Frames no longer than ``max_rows`` are kept whole."""
+    if max_rows == 1:
+        return F.when(i == 0, F.lit(0).cast("long"))
     step = (n - 1) / F.lit(float(max_rows - 1))
     near = F.round(i / F.nullif(step, F.lit(0.0)))
     hits = F.filter(

@@ -170,12 +170,15 @@ def train_job(
 
 def forecast_job(
     history: DataFrame, current: DataFrame, model: PipelineModel, features: list[str], spec: ObsSpec, as_of: str,
-    days: int = S.FORECAST_DAYS, history_rows: int = 120, entities=None,
+    days: int = S.FORECAST_DAYS, history_rows: int | None = None, entities=None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(hourly, daily) forecasts of every entity in ``current`` from its latest rows and its current reading."""
+    """(hourly, daily) forecasts of every entity in ``current`` from its latest rows and its current reading.
+
+    ``history_rows``: by default as many rows as a feature can reach back.
+    """
     plain = spec.with_(seq=None)
     known = [c for c in history.columns if c in (*plain.key, plain.target, *S.POLLUTANTS, *S.WEATHER)]
-    recent = Fc.last_n(history.join(current.select(spec.entity).distinct(), spec.entity, "left_semi"), spec, history_rows)
+    recent = Fc.last_n(history.join(current.select(spec.entity).distinct(), spec.entity, "left_semi"), spec, history_rows or Ft.feature_reach() + 1)
     seq = "_seq"
     observed = Fc.append_observation(recent.select(*known).withColumn(seq, F.lit(0)), current.withColumn(seq, F.lit(1)), plain)
     cleaned = stage(clean_data(observed, plain.with_(seq=seq), entities).drop(seq), "cleaned")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -37,7 +38,7 @@ def read_observations(
 ) -> DataFrame:
     """CSV columns are matched by the header's names, with types from ``schema``; no inference pass.
 
-    Columns that a file does not have are left out.
+    Columns that a file does not have are left out. Files with another order of columns than the first are an error.
     """
     if fmt == "parquet":
         return normalise(spark.read.parquet(path), time)
@@ -47,7 +48,10 @@ def read_observations(
     header = spark.read.csv(path, header=True).columns  # reads the first line only
     known = {f.name: f for f in wanted.fields}
     fields = [known.get(c, T.StructField(c, T.StringType())) for c in header]
-    return normalise(spark.read.csv(path, header=True, schema=T.StructType(fields)), time)
+    return normalise(spark.read.csv(path, header=True, schema=T.StructType(fields), enforceSchema=False), time)
+
+
+_MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "TABLE_OR_VIEW_NOT_FOUND")
 
 
 def source_priority(candidates: list) -> DataFrame:
@@ -60,7 +64,9 @@ def source_priority(candidates: list) -> DataFrame:
             if not df.isEmpty():
                 return df
             problems.append(f"source {i} is empty")
-        except Exception as e:  # the next source is tried, the reason is kept
+        except (AnalysisException, FileNotFoundError) as e:  # only a source that isn't there gives way to the next
+            if isinstance(e, AnalysisException) and e.getCondition() not in _MISSING:
+                raise
             problems.append(f"source {i}: {type(e).__name__}: {str(e)[:200]}")
     raise ValueError("no source has data: " + "; ".join(problems))
 
