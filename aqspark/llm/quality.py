@@ -158,7 +158,7 @@ def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str
     known = ratings.select(F.col(doc_id).alias("rated"), F.col(grade).cast("int").alias("grade")).where("rated IS NOT NULL AND grade IS NOT NULL")
     chosen = known.groupBy("rated").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("rated"), "rated").limit(rows)
     whole = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    sample = whole.join(F.broadcast(chosen), F.col("doc_id") == F.col("rated")).select("grade", "text")  # at most ``rows`` pairs are sent
+    sample = whole.join(F.broadcast(chosen), F.col("doc_id") == F.col("rated")).select("rated", "grade", "text")  # at most ``rows`` pairs are sent
 
     def sparse(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(batches_, "text"):
@@ -166,7 +166,7 @@ def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str
             rank = np.argsort(row, kind="stable")
             offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=batch.num_rows))]).astype(np.int32))
             lists = (pa.ListArray.from_arrays(offsets, pa.array(x[rank].astype(t))) for x, t in ((place, np.int32), (value, np.float32)))
-            yield pa.RecordBatch.from_arrays([batch.column("grade"), *lists], names=["grade", "place", "value"])
+            yield pa.RecordBatch.from_arrays([batch.column("rated"), batch.column("grade"), *lists], names=["rated", "grade", "place", "value"])
 
     def solve(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches_ if b.num_rows]
@@ -178,8 +178,10 @@ def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str
             if theta is not None:
                 yield pa.RecordBatch.from_arrays([pa.array([theta], pa.list_(pa.float64()))], names=["theta"])
 
-    vectors = sample.mapInArrow(sparse, "grade int, place array<int>, value array<float>")
-    found = vectors.repartition(1).mapInArrow(solve, "theta array<double>").collect()
+    kind = sample.schema["rated"].dataType.simpleString()
+    vectors = sample.mapInArrow(sparse, f"rated {kind}, grade int, place array<int>, value array<float>")
+    # in the order of the ids, so that sums come out alike in every run
+    found = vectors.repartition(1).sortWithinPartitions("rated").mapInArrow(solve, "theta array<double>").collect()
     return np.array(found[0]["theta"]) if found else None
 
 
