@@ -16,13 +16,15 @@ from aqspark.spec import ObsSpec
 MONTH, SHARD = "month_key", "shard"
 
 
-def prepare_for_store(df: DataFrame, spec: ObsSpec) -> DataFrame:
-    """Lower-case names with underscores, zone-less UTC time, complete keys, finite numbers (else 0)."""
+def prepare_for_store(df: DataFrame, spec: ObsSpec, zero_fill: bool = True) -> DataFrame:
+    """Lower-case names with underscores, zone-less UTC time, complete keys, finite numbers (else 0, or null without ``zero_fill``)."""
     out = df.toDF(*[c.lower().replace(" ", "_").replace("-", "_") for c in df.columns])
     if isinstance(out.schema[spec.time].dataType, T.TimestampType):
         out = out.withColumn(spec.time, F.to_utc_timestamp(spec.time, F.current_timezone()).cast("timestamp_ntz"))
     floating = [f.name for f in out.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
     out = out.dropna(subset=spec.key).withColumns({c: X.null_if_not_finite(c) for c in floating})
+    if not zero_fill:
+        return out
     numeric = [f.name for f in out.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in spec.key]
     return out.fillna(0, subset=numeric)
 
@@ -39,10 +41,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path)
         return True
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return False
 
 
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    """All columns that any file of the table has, so that one added by a later upsert is neither hidden nor lost."""
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
 def write_processed(df: DataFrame, path: str, spec: ObsSpec, shards: int = 4, mode: str = "overwrite") -> None:
     """Rows of one partition are spread over several files when there are many (``maxRecordsPerFile``)."""
     (
@@ -63,19 +72,19 @@ def merged(existing: DataFrame, incoming: DataFrame, spec: ObsSpec) -> DataFrame
     return keep_one(both, spec.key, "_arrival", "last").drop("_arrival")
 
 
-def upsert_features(path: str, incoming: DataFrame, spec: ObsSpec, shards: int = 4) -> DataFrame:
+def upsert_features(path: str, incoming: DataFrame, spec: ObsSpec, shards: int = 4, zero_fill: bool = True) -> DataFrame:
     """Insert or replace rows by (entity, time) and return the table.
 
     Only partitions with incoming rows are read and rewritten; the merged rows are staged first, so no path
     is overwritten while it is read. Doing it again with the same rows changes nothing, so a batch may be retried.
     """
     spark = incoming.sparkSession
-    batch = stage(prepare_for_store(incoming, spec).withColumns(partition_columns(spec, shards)), "upsert")
+    batch = stage(prepare_for_store(incoming, spec, zero_fill).withColumns(partition_columns(spec, shards)), "upsert")
     if _exists(spark, path):
         # at most one row per partition folder; the two lists prune the scan, the join picks the pairs
         touched = stage(batch.select(MONTH, SHARD).distinct(), "touched")
         lists = touched.agg(F.collect_set(MONTH).alias("m"), F.collect_set(SHARD).alias("s")).first()
-        table = spark.read.parquet(path)
+        table = _read(spark, path)
         table = table.withColumns({MONTH: F.col(MONTH).cast("string"), SHARD: F.col(SHARD).cast("int")})
         pruned = table.where(F.col(MONTH).isin(lists["m"]) & F.col(SHARD).isin(lists["s"]))
         old = pruned.join(F.broadcast(touched), [MONTH, SHARD], "left_semi")
@@ -94,7 +103,7 @@ def upsert_features(path: str, incoming: DataFrame, spec: ObsSpec, shards: int =
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(MONTH, SHARD)
+    return _read(spark, path).drop(MONTH, SHARD)
 
 
 def training_window(df: DataFrame, as_of: str, spec: ObsSpec, days: int = S.TRAINING_DAYS, fallback_all: bool = True) -> DataFrame:

@@ -115,7 +115,7 @@ def stream_daily(stream: DataFrame, path: str, checkpoint: str, spec: ObsSpec, d
 
     def each(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
-            St.upsert_features(path, batch, spec.with_(seq=None), shards)
+            St.upsert_features(path, batch, spec.with_(seq=None), shards, zero_fill=False)  # a day without readings stays unknown
 
     return _run(flat, checkpoint, each, mode="update", trigger=trigger)
 
