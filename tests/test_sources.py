@@ -96,8 +96,8 @@ def test_columns_added_by_a_later_upsert_stay(spark, tmp_path):
 
     spec, path = ObsSpec(), str(tmp_path / "table")
     row = lambda day, **more: spark.createDataFrame([{"city": "a", "timestamp": day, "aqi": 1.0, **more}]).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
-    store.upsert_features(path, row("2025-01-01"), spec)
-    store.upsert_features(path, row("2025-02-01", temp=7.0), spec)
-    out = store.upsert_features(path, row("2025-02-02"), spec)
+    St.upsert_features(path, row("2025-01-01"), spec)
+    St.upsert_features(path, row("2025-02-01", temp=7.0), spec)
+    out = St.upsert_features(path, row("2025-02-02"), spec)
     assert sorted((str(r["timestamp"])[:10], r["temp"]) for r in out.collect()) == [("2025-01-01", None), ("2025-02-01", 7.0), ("2025-02-02", None)]
-    assert store.prepare_for_store(row("2025-01-01").withColumn("aqi", F.lit(None).cast("double")), spec, zero_fill=False).first()["aqi"] is None
+    assert St.prepare_for_store(row("2025-01-01").withColumn("aqi", F.lit(None).cast("double")), spec, zero_fill=False).first()["aqi"] is None
