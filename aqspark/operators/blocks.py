@@ -18,8 +18,13 @@ POS, BLOCK, OWN, BUCKET, SUB = "_pos", "_block", "_own", "_bucket", "_sub"
 
 
 def calendar_bucket(spec: ObsSpec) -> Column:
-    days = F.datediff(F.col(spec.time).cast("date"), F.lit("1970-01-01").cast("date"))
-    return F.floor(days / F.lit(spec.bucket_days)).cast("int")
+    """Number of the time bucket of a row. Buckets of part of a day are counted in seconds; rows of one instant share a bucket."""
+    time = F.col(spec.time)
+    days = F.datediff(time.cast("date"), F.lit("1970-01-01").cast("date"))
+    if float(spec.bucket_days).is_integer():
+        return F.floor(days / F.lit(int(spec.bucket_days))).cast("int")
+    seconds = days.cast("long") * 86400 + F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
+    return F.floor(seconds / F.lit(spec.bucket_days * 86400)).cast("int")
 
 
 def by_group(df: DataFrame, spec: ObsSpec, group: str) -> DataFrame:

@@ -55,7 +55,7 @@ class ObsSpec:
     ``seq`` is the arrival order used to break ties between rows of equal time.
     ``bucket_days`` bounds the rows numbered by one task: a bucket of 30 days holds
     720 hourly readings of one entity, 43,200 at one per minute. Sensors that report
-    many times per second want a smaller bucket. ``block_rows`` bounds the rows of one
+    many times per second want a smaller bucket, also of part of a day (1 / 24). ``block_rows`` bounds the rows of one
     window group, however many rows an entity has.
     """
 
@@ -63,7 +63,7 @@ class ObsSpec:
     time: str = "timestamp"
     target: str = "aqi"
     seq: str | None = None
-    bucket_days: int = 30
+    bucket_days: float = 30
     block_rows: int = 16384
 
     @property
