@@ -139,4 +139,5 @@ def report(c: str | Column, kind: str) -> Column:
 
 
 def is_fresh(fetched_at: str | Column, as_of: str | Column, ttl_seconds: int = S.CACHE_TTL_SECONDS) -> Column:
-    return F.timestamp_diff("MICROSECOND", col(fetched_at), col(as_of)) < F.lit(ttl_seconds * 1_000_000)
+    """The bare column is compared, so the filter reaches the scan."""
+    return col(fetched_at) > col(as_of) - F.make_dt_interval(secs=F.lit(ttl_seconds))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,11 +15,12 @@ METADATA_SCHEMA = (
 )
 
 
-def registry_save(spark: SparkSession, root: str, model: PipelineModel, metrics: dict, features: list[str], version: int, trained_at: str) -> DataFrame:
+def registry_save(spark: SparkSession, root: str, model: PipelineModel, metrics: dict, features: list[str], version: int | None, trained_at: str) -> DataFrame:
     """Save the pipeline (scaler included) and append its metadata row; returns the metadata table.
 
-    A version that cannot be written is an error.
+    Without ``version`` it is the one after the newest. A version that cannot be written is an error.
     """
+    version = next_version(spark, root) if version is None else version
     path = f"{root}/models/version={version}"
     model.write().save(path)
     row = (
@@ -35,6 +37,16 @@ def registry_save(spark: SparkSession, root: str, model: PipelineModel, metrics:
     return registry_versions(spark, root)
 
 
+def next_version(spark: SparkSession, root: str) -> int:
+    try:
+        newest = registry_versions(spark, root).agg(F.max("version")).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        newest = None
+    return (newest or 0) + 1
+
+
 def registry_versions(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(METADATA_SCHEMA).parquet(f"{root}/metadata")
 

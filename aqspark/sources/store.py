@@ -52,10 +52,15 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
+def _by_folder(df: DataFrame) -> DataFrame:
+    """Rows of a folder meet in few tasks, so files don't grow as tasks times folders; adaptive execution splits large folders."""
+    return df.hint("rebalance", F.col(MONTH), F.col(SHARD))
+
+
 def write_processed(df: DataFrame, path: str, spec: ObsSpec, shards: int = 4, mode: str = "overwrite") -> None:
     """Rows of one partition are spread over several files when there are many (``maxRecordsPerFile``)."""
     (
-        df.withColumns(partition_columns(spec, shards))
+        _by_folder(df.withColumns(partition_columns(spec, shards)))
         .write.mode(mode)
         .option("maxRecordsPerFile", 5_000_000)
         .partitionBy(MONTH, SHARD)
@@ -93,7 +98,8 @@ def upsert_features(path: str, incoming: DataFrame, spec: ObsSpec, shards: int =
         result = merged(batch.limit(0), batch, spec)
     staged = stage(result, "merged")
     (
-        staged.write.mode("overwrite")
+        _by_folder(staged)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", 5_000_000)
         .partitionBy(MONTH, SHARD)

@@ -82,6 +82,7 @@ def test_train_and_forecast_round_trip(spark, tmp_path):
     assert [r["rmse"] for r in rows] == sorted(r["rmse"] for r in rows) and len(rows) == 3
     model, best = R.registry_load(spark, str(tmp_path / "registry"))
     meta = best.first()
+    assert R.next_version(spark, str(tmp_path / "registry")) == 2 and meta["version"] == 1
     assert meta["model_name"] == rows[0]["model_name"] and meta["feature_count"] == len(prepared.features)
     now = pdf.groupby("city").tail(1).assign(timestamp=lambda d: d.timestamp + pd.Timedelta(hours=1)).drop(columns="seq")
     hourly, daily = P.forecast_job(frame(spark, pdf), frame(spark, now), model, list(meta["feature_names"]), spec, "2025-02-01")

@@ -90,6 +90,15 @@ def test_payloads(spark):
     assert np.allclose(h["pm2_5"], [6, 12, 18]) and "owm_aqi" not in h.columns
 
 
+def test_a_folder_has_few_files(spark, tmp_path):
+    hours = spark.range(0, 4000, 1, 12).select(F.concat(F.lit("c"), F.col("id") % 20).alias("city"), F.expr("TIMESTAMP_NTZ '2025-01-01 00:00:00' + make_dt_interval(0, CAST(id AS INT))").alias("timestamp"), F.col("id").cast("double").alias("aqi"))
+    path = str(tmp_path / "processed")
+    St.write_processed(hours.repartition(12), path, ObsSpec())
+    read = spark.read.parquet(path)
+    folders = read.select("month_key", "shard").distinct().count()
+    assert read.count() == 4000 and len(read.inputFiles()) == folders
+
+
 def test_columns_added_by_a_later_upsert_stay(spark, tmp_path):
     from aqspark.sources import store
     from aqspark.spec import ObsSpec
