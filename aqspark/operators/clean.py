@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 from pyspark.sql import types as T
 
@@ -48,6 +51,15 @@ def drop_incomplete(df: DataFrame) -> DataFrame:
     return df.dropna("any")
 
 
+def drop_incomplete_or_short(df: DataFrame, spec: ObsSpec) -> DataFrame:
+    """Rows without nulls; of an entity that has none, because its series is shorter than a lag, all rows."""
+    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    known = [F.col(c).isNotNull() & ~F.isnan(c) if c in floating else F.col(c).isNotNull() for c in df.columns]
+    flagged = df.withColumn("_whole", reduce(and_, known))
+    any_whole = flagged.groupBy(spec.entity).agg(F.max("_whole").alias("_any"))
+    return flagged.join(any_whole, spec.entity).where(F.col("_whole") | ~F.col("_any")).select(*df.columns)
+
+
 def clip_target(df: DataFrame, spec: ObsSpec, low: float = S.AQI_MIN, high: float = S.AQI_MAX) -> DataFrame:
     return df.withColumn(spec.target, X.clip(spec.target, low, high))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str, by: list[str] = ()) -> DataFrame:
@@ -33,10 +33,14 @@ def best_model(results: DataFrame) -> DataFrame:
     return results.agg(best).select("b.*")
 
 
-def mean_abs_importance(attribution: DataFrame, k: int = 15) -> DataFrame:
-    """The ``k`` features with the largest mean absolute attribution, from (feature, attribution) rows."""
-    means = attribution.groupBy("feature").agg(F.avg(F.abs("attribution")).alias("importance"))
-    return top_k_features(means, k)
+def mean_abs_importance(attribution: DataFrame, k: int = 15, by: list[str] = ()) -> DataFrame:
+    """The ``k`` features with the largest mean absolute attribution, from (feature, attribution) rows; of each group of ``by``."""
+    means = attribution.groupBy(*by, "feature").agg(F.avg(F.abs("attribution")).alias("importance"))
+    if not by:
+        return top_k_features(means, k)
+    # a group has as many rows as there are features
+    rank = F.row_number().over(W.partitionBy(*by).orderBy(F.desc("importance"), "feature"))
+    return means.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
 
 
 def top_k_features(importance: DataFrame, k: int) -> DataFrame:

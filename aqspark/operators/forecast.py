@@ -10,35 +10,29 @@ from pyspark.ml import Transformer
 from aqspark import spec as S
 from aqspark.functions import scalar as X
 from aqspark.functions.calendar import calendar_parts, cyclic_parts
-from aqspark.operators.blocks import BUCKET, calendar_bucket
+from aqspark.operators.blocks import BUCKET, by_group, calendar_bucket
 from aqspark.operators.horizon import OFFSET
 from aqspark.spec import ObsSpec
 
 FUTURE_POLLUTANTS = S.POLLUTANTS
 
 
-# Spark limits window groups before the shuffle only up to this many rows (its default threshold)
-_GROUP_LIMIT = 1000
-
-
 def last_n(df: DataFrame, spec: ObsSpec, n: int, keep_rank: str | None = None) -> DataFrame:
     """The latest ``n`` rows of every entity.
 
-    For small ``n`` Spark limits each group before the shuffle, so a hot entity sends at most ``n`` rows per
-    task. For larger ``n`` the counts per (entity, bucket) tell which buckets the rows are in; older buckets are
-    dropped, and rows are ranked inside their bucket.
+    The counts per (entity, bucket) tell which buckets the rows are in; older buckets are dropped, and rows are
+    ranked inside their bucket, so that a busy entity is split over tasks for any ``n``.
     """
     newest = [F.col(c).desc() for c in spec.order]
     out = keep_rank or "_rank"
-    if n <= _GROUP_LIMIT:
-        ranked = df.withColumn(out, F.row_number().over(W.partitionBy(spec.entity).orderBy(*newest)))
-    else:
-        cut = df.withColumn(BUCKET, calendar_bucket(spec))
-        later = W.partitionBy(spec.entity).orderBy(F.col(BUCKET).desc()).rowsBetween(W.unboundedPreceding, -1)
-        counts = cut.groupBy(spec.entity, BUCKET).agg(F.count("*").alias("_n"))
-        needed = counts.withColumn("_later", F.coalesce(F.sum("_n").over(later), F.lit(0))).where(F.col("_later") < n)
-        inside = F.row_number().over(W.partitionBy(spec.entity, BUCKET).orderBy(*newest))
-        ranked = cut.join(needed.drop("_n"), [spec.entity, BUCKET]).withColumn(out, F.col("_later") + inside)
+    cut = df.withColumn(BUCKET, calendar_bucket(spec))
+    later = W.partitionBy(spec.entity).orderBy(F.col(BUCKET).desc()).rowsBetween(W.unboundedPreceding, -1)
+    counts = cut.groupBy(spec.entity, BUCKET).agg(F.count("*").alias("_n"))
+    needed = counts.withColumn("_later", F.coalesce(F.sum("_n").over(later), F.lit(0))).where(F.col("_later") < n)
+    needed = needed.select(F.col(spec.entity).alias("_of"), F.col(BUCKET).alias("_in"), "_later")
+    inside = F.row_number().over(W.partitionBy(spec.entity, BUCKET).orderBy(*newest))
+    same = F.col(spec.entity).eqNullSafe(F.col("_of")) & F.col(BUCKET).eqNullSafe(F.col("_in"))
+    ranked = by_group(cut.join(needed, same), spec, BUCKET).withColumn(out, F.col("_later") + inside)
     return ranked.where(F.col(out) <= n).select(*df.columns, *([keep_rank] if keep_rank else []))
 
 
@@ -123,7 +117,7 @@ def future_features(df: DataFrame, spec: ObsSpec, hours: int = S.HORIZON, carry:
     last = F.col("_last")
 
     def held(name: str, default: Column) -> Column:
-        return F.col(name) if name in df.columns else default
+        return F.coalesce(F.col(name), default) if name in df.columns else default
 
     parts = calendar_parts(F.col("_at"))
     out = {**parts, **cyclic_parts(parts)}
@@ -221,11 +215,13 @@ def forecast_document(report: DataFrame, current: DataFrame, metadata: DataFrame
         }
     )
     if attribution is not None:
-        # at most a handful of top features
-        top = attribution.agg(F.collect_list(F.struct(F.col("importance"), F.col("feature"))).alias("t")).select(
-            F.transform(F.sort_array("t", asc=False), lambda e: F.struct(e["feature"].alias("feature"), e["importance"].alias("importance")))
+        # at most a handful of top features, per entity if the attribution has the entity
+        by = [spec.entity] if spec.entity in attribution.columns else []
+        item = F.struct(X.report("importance", "metric").alias("importance"), F.col("feature"))
+        top = attribution.groupBy(*by).agg(F.collect_list(item).alias("t")).select(
+            *by, F.transform(F.sort_array("t", asc=False), lambda e: F.struct(e["feature"].alias("feature"), e["importance"].alias("importance"))).alias("top_features")
         )
-        doc = doc.withColumn("top_features", top.scalar())
+        doc = doc.join(top, spec.entity, "left") if by else doc.withColumn("top_features", top.scalar())
     return doc
 
 

@@ -109,7 +109,8 @@ def backfill_job(raw: DataFrame, spec: ObsSpec, path: str | None, entities=None,
 def latest_payload(history: DataFrame, current: DataFrame, spec: ObsSpec) -> DataFrame:
     """The newest complete feature row of every entity in ``current``.
 
-    Only as many recent rows as a feature can see are read into the windows. Weather columns are filled
+    Only as many recent rows as a feature can see are read into the windows. The current reading replaces
+    one that history has for the same time. Weather columns are filled
     forward and backward, and take the current value where history has none.
     """
     asked = current.select(spec.entity).distinct()
@@ -120,7 +121,7 @@ def latest_payload(history: DataFrame, current: DataFrame, spec: ObsSpec) -> Dat
         *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) if c in current.columns else F.lit(0.0).alias(c) for c in names],
     )
     recent = Fc.last_n(history.join(asked, spec.entity, "left_semi"), spec, Ft.feature_reach() + 1)
-    context = recent.unionByName(now, allowMissingColumns=True)
+    context = recent.join(now.select(*spec.key), spec.key, "left_anti").unionByName(now, allowMissingColumns=True)
     # the windows below read this more than once; it is small, at most the reach of a feature per entity
     filled = stage(C.fill(context, spec.with_(seq=None), list(S.WEATHER)), "context")
     featured = Ft.all_features(filled, spec.with_(seq=None))
@@ -143,7 +144,7 @@ class Trained:
 
 def train_job(
     prepared: Prepared, models: list[M.Candidate] | None = None, tune: bool = False, n_iter: int = 20,
-    max_cv_rows: int = S.MAX_CV_ROWS, folds: int = S.CV_FOLDS, registry: str | None = None, version: int = 1,
+    max_cv_rows: int = S.MAX_CV_ROWS, folds: int = S.CV_FOLDS, registry: str | None = None, version: int | None = None,
     trained_at: str = "",
 ) -> Trained:
     """Compare candidates on the prepared frame; with ``registry`` the best one is saved there."""
@@ -174,7 +175,9 @@ def forecast_job(
 ) -> tuple[DataFrame, DataFrame]:
     """(hourly, daily) forecasts of every entity in ``current`` from its latest rows and its current reading.
 
-    ``history_rows``: by default as many rows as a feature can reach back.
+    ``history_rows``: by default as many rows as a feature can reach back. An entity's forecast does not depend on
+    the others: its gaps take its own medians, and a column it never reported counts as 0. A series
+    shorter than a lag is forecast from the rows it has.
     """
     plain = spec.with_(seq=None)
     known = [c for c in history.columns if c in (*plain.key, plain.target, *S.POLLUTANTS, *S.WEATHER)]
@@ -182,9 +185,10 @@ def forecast_job(
     seq = "_seq"
     observed = Fc.append_observation(recent.select(*known).withColumn(seq, F.lit(0)), current.withColumn(seq, F.lit(1)), plain)
     cleaned = stage(clean_data(observed, plain.with_(seq=seq), entities).drop(seq), "cleaned")
-    imputed = handle_missing(cleaned, plain)
+    imputed = handle_missing(cleaned, plain, by=[spec.entity])
+    imputed = imputed.fillna(0, subset=C.numeric_columns(imputed))
     # a small table, and a plan of its own: the optimizer is slow on the filter and the rank together
-    featured = stage(C.drop_incomplete(Ft.all_features(imputed, plain)), "featured")
+    featured = stage(C.drop_incomplete_or_short(stage(Ft.all_features(stage(imputed, "imputed"), plain), "features"), plain), "featured")
     carry = [c for c in S.WEATHER if c in featured.columns]
     future = Fc.future_features(featured, plain, days * 24, carry)
     hourly = stage(Fc.forecast(future, model, features, plain), "hourly")
