@@ -7,6 +7,7 @@ observations per event type. Every query runs over whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -926,11 +927,11 @@ def _(spark, d):
 # ---- set operations ------------------------------------------------------------------------
 
 
-@query("union_cities", f"WITH {OBS} SELECT city, timestamp, pm10, CASE WHEN city <> 'view' THEN o3 END AS o3 FROM obs WHERE city IN ('click', 'view', 'error')")
+@query("union_cities", f"WITH {OBS} SELECT city, timestamp, pm10, CASE WHEN city <> 'view' THEN o3 END AS o3 FROM obs")
 def _(spark, d):
     o = obs(spark, d).select(*KEY, "pm10", "o3")
-    click, view, error = (o.where(F.col("city") == c) for c in ("click", "view", "error"))
-    return click.unionByName(view.drop("o3"), allowMissingColumns=True).unionByName(error)
+    parts = [o.where(F.col("city") == c) if c != "view" else o.where("city = 'view'").drop("o3") for c in [*CITIES, "error"]]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def _current(spark, d) -> DataFrame:
@@ -1151,14 +1152,15 @@ def _(spark, d):
 
 @query(
     "sampled_attribution",
-    f"""WITH {OBS}, h AS (SELECT * FROM obs ORDER BY city, timestamp LIMIT 100), m AS (SELECT avg(pm2_5) AS x, regr_slope(aqi, pm2_5) AS b FROM obs)
-    SELECT city, timestamp, 'pm2_5' AS feature, {R5('b * (pm2_5 - x)', 'attribution')} FROM h, m""",
+    f"""WITH {OBS}, s AS (SELECT avg(pm10) AS x1, avg(o3) AS x2, var_pop(pm10) AS v1, var_pop(o3) AS v2, covar_pop(pm10, o3) AS v12, covar_pop(pm10, aqi) AS y1, covar_pop(o3, aqi) AS y2 FROM obs),
+    m AS (SELECT x1, x2, (y1 * v2 - y2 * v12) / (v1 * v2 - v12 * v12) AS b1, (y2 * v1 - y1 * v12) / (v1 * v2 - v12 * v12) AS b2 FROM s)
+    SELECT city, timestamp, 'pm10' AS feature, {R5('b1 * (pm10 - x1)', 'attribution')} FROM obs, m
+    UNION ALL SELECT city, timestamp, 'o3', {R5('b2 * (o3 - x2)')} FROM obs, m""",
 )
 def _(spark, d):
     o = stage(obs(spark, d), "obs")
-    model = M.fit_linear(o, ["pm2_5"], "aqi")
-    rows = Fc.head_n(o, KEY, 100)
-    return show(A.sampled_attribution(rows, model, ["pm2_5"], KEY, 2, o), [*KEY, "feature"], ["attribution"])
+    model = M.fit_linear(o, ["pm10", "o3"], "aqi")
+    return show(A.sampled_attribution(o, model, ["pm10", "o3"], KEY, 2, o), [*KEY, "feature"], ["attribution"])
 
 
 # ---- streaming -----------------------------------------------------------------------------
