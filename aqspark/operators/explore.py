@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from itertools import product
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -62,22 +61,24 @@ def density_curve(df: DataFrame, column: str, points: int = 200) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(a, b, corr) for all pairs; each pair uses the rows where both are known. One aggregation."""
+    """(a, b, corr) for all pairs; each pair uses the rows where both are known. Null for a constant column and where no row knows both.
+
+    Rows are laid out by pair and combined in the tasks, so one row per pair and task is shuffled and the aggregate
+    stays narrow however many columns there are.
+    """
     columns = columns or numeric_columns(df)
-    upper = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    name = {pair: f"c{i}" for i, pair in enumerate(upper)}
-
-    def pair_corr(a, b):
-        x, y = (X.null_if_nan(F.col(c).cast("double")) for c in (a, b))
-        x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-        return F.when((F.min(x) < F.max(x)) & (F.min(y) < F.max(y)), F.corr(x, y))  # null for a constant column
-
-    one = df.agg(*[pair_corr(*pair).alias(name[pair]) for pair in upper])
-    cells = [
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(name.get((a, b)) or name[(b, a)]).alias("corr"))
-        for a, b in product(columns, columns)
-    ]
-    return one.select(F.explode(F.array(*cells)).alias("e")).select("e.*")
+    values = F.array(*[X.null_if_nan(F.col(c).cast("double")) for c in columns])
+    first = df.select(values.alias("v")).select("v", F.posexplode("v").alias("i", "x")).where("x IS NOT NULL")
+    pairs = first.select("i", "x", "v", F.explode(F.sequence("i", F.lit(len(columns) - 1))).alias("j"))
+    known = pairs.select("i", "j", "x", F.get("v", F.col("j")).alias("y")).where("y IS NOT NULL")
+    # a varying column has a positive deviation, unless it underflows
+    spread = F.nullif(F.stddev_pop("x") * F.stddev_pop("y"), F.lit(0.0))
+    varies = (F.min("x") < F.max("x")) & (F.min("y") < F.max("y"))
+    corr = known.groupBy("i", "j").agg(F.when(varies, F.covar_pop("x", "y") / spread).alias("corr"))
+    names, n, spark = F.array(*map(F.lit, columns)), F.lit(len(columns)), df.sparkSession
+    grid = spark.range(len(columns) ** 2).select(F.floor(F.col("id") / n).cast("int").alias("row"), (F.col("id") % n).cast("int").alias("col"))
+    both = (F.least("row", "col") == F.col("i")) & (F.greatest("row", "col") == F.col("j"))
+    return grid.join(corr, both, "left").select(F.get(names, F.col("row")).alias("a"), F.get(names, F.col("col")).alias("b"), "corr")
 
 
 def coverage_summary(df: DataFrame, spec: ObsSpec) -> DataFrame:

@@ -121,3 +121,18 @@ def test_summaries(spark):
     assert np.allclose(ordered(Ex.density_curve(df, "aqi"), "point")["density"], density)
     profile = {r["column"]: r["nulls"] for r in C.null_profile(df).collect()}
     assert profile["aqi"] == pdf["aqi"].isna().sum() and profile["city"] == 0
+
+
+def test_correlations_of_many_columns_with_constant_and_unknown_ones(spark):
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame(rng.normal(size=(3000, 44)), columns=[f"c{i}" for i in range(44)])
+    pdf["c1"] = pdf["c0"] * 2 + rng.normal(size=3000)
+    pdf.loc[::7, "c2"] = np.nan
+    pdf["c3"], pdf["c4"] = 4.0, np.nan
+    expected = pdf.corr()
+    found = Ex.correlation_matrix(spark.createDataFrame(pdf), list(pdf.columns)).collect()
+    assert len(found) == 44 * 44
+    for r in found:
+        want = expected.loc[r["a"], r["b"]]
+        assert r["corr"] is None if np.isnan(want) else r["corr"] == pytest.approx(want, abs=1e-9)
+    assert all(r["corr"] is None for r in Ex.correlation_matrix(spark.createDataFrame(pdf).limit(0), ["c0", "c1"]).collect())
