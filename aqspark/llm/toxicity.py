@@ -6,6 +6,9 @@ documents: how many different longer grams end in a gram. A word's score is the
 a document's features are the mean over its words and its peaks. A logistic curve, fitted to scores that a document got from models without its
 half of the training rows, turns them into a probability.
 
+The order is the same at every size. Ratios are whole multiples of 2**-24, so a word's sum doesn't depend on the order of its grams. A model of few grams is
+sent to the tasks; a larger one stays a table, is joined with the grams of the distinct words, and the words' ratios are joined with the documents.
+
 A null or empty text, or one without words, has features of zero. Labels that are null are ignored; if a label is repeated the largest counts. Rows with a null id are never trained on. Repeated rows
 are scored alike. Without training rows every score is 0.5. Words may have any length. Only the id and the text are read.
 """
@@ -19,12 +22,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from aqspark.llm.common import batches, byte_rows, small_side, stage
+from aqspark.llm.common import batches, byte_rows, small_side, stage, stage_compact
 from aqspark.llm.contamination import NORMAL
 
 ORDER, DISCOUNT, MASS = 6, 0.75, 1.0
-#: Entries of the model that is sent to the tasks (20 bytes each). If there are more grams, the order is lowered until they fit; order 2 always does.
+#: Entries of a model that is sent to the tasks (20 bytes each). A larger one is joined; the result is the same.
 ENTRIES = 1 << 22
+#: Ratios are stored in units of one over this; they stay far below 128.
+UNIT = float(1 << 24)
 #: Rows that the logistic curve of five numbers is fitted on.
 CURVE_ROWS = 100_000
 FEATURES = ("mean", "peak", "peaks", "excess", "upper")
@@ -134,7 +139,7 @@ def model(counted: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
         top = F.greatest(F.col(k) - DISCOUNT, F.lit(0.0)) + back * F.col("p") if own else back
         return F.log(top / (F.col(f"h_{k}") + MASS))
 
-    ratios = lambda own: [(log(f"b{v}", own) - log(f"a{v}", own)).cast("float").alias(f"r{v}") for v in ("", "0", "1")]
+    ratios = lambda own: [F.round((log(f"b{v}", own) - log(f"a{v}", own)) * UNIT).cast("int").alias(f"r{v}") for v in ("", "0", "1")]
     return trained.join(p, "lower").select("gram", *ratios(True)), contexts.select(F.col("context").alias("gram"), *ratios(False))
 
 
@@ -173,9 +178,26 @@ def _peaks(doc: np.ndarray, r: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def _names() -> list[str]:
+    return [*FEATURES, *(f"x_{f}" for f in FEATURES)]
+
+
+def _schema(rows: DataFrame, keep: tuple[str, ...]) -> str:
+    kinds = ", ".join(f"`{c}` {rows.select(c).schema[0].dataType.simpleString()}" for c in keep)
+    return f"{kinds}, " + ", ".join(f"{c} double" for c in _names())
+
+
+def _described(batch: pa.RecordBatch, keep: tuple[str, ...], doc: np.ndarray, ratios: list[np.ndarray]) -> pa.RecordBatch:
+    """``keep`` and the features of a batch's documents; ``ratios`` of each word by all rows, the first half and the second half."""
+    half = np.array([-1 if x is None else x for x in batch.column("half").to_pylist()])
+    whole = _peaks(doc, ratios[0], batch.num_rows)
+    other = _peaks(doc, np.where(half[doc] == 0, ratios[2], ratios[1]), batch.num_rows) if (half >= 0).any() else whole
+    columns = [pa.array(x) for x in np.concatenate([whole, other], axis=1).T]
+    return pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *columns], names=[*keep, *_names()])
+
+
 def features(docs: DataFrame, shared, order: int, keep: tuple[str, ...]) -> DataFrame:
     """``keep``, the features of the whole model, and ``x_``-features of the model without the document's half."""
-    names = [*FEATURES, *(f"x_{f}" for f in FEATURES)]
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, context = shared.value
@@ -187,15 +209,58 @@ def features(docs: DataFrame, shared, order: int, keep: tuple[str, ...]) -> Data
             per_word = []
             for v in (1, 2, 3):
                 r = np.where(known < len(seen[0]), np.append(seen[v], 0)[known], np.append(context[v], 0)[around])
-                per_word.append(np.bincount(of, weights=r, minlength=len(distinct)) / length)
-            half = np.array([-1 if x is None else x for x in batch.column("half").to_pylist()])
-            whole = _peaks(doc, per_word[0][code], batch.num_rows)
-            other = _peaks(doc, np.where(half[doc] == 0, per_word[2][code], per_word[1][code]), batch.num_rows) if (half >= 0).any() else whole
-            columns = [pa.array(x) for x in np.concatenate([whole, other], axis=1).T]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *columns], names=[*keep, *names])
+                per_word.append(np.bincount(of, weights=r, minlength=len(distinct)) / (length * UNIT))
+            yield _described(batch, keep, doc, [r[code] for r in per_word])
+
+    return docs.select(*dict.fromkeys([*keep, "text", "half"])).mapInArrow(run, _schema(docs, keep))
+
 
-    kinds = ", ".join(f"`{c}` {docs.select(c).schema[0].dataType.simpleString()}" for c in keep)
-    return docs.select(*dict.fromkeys([*keep, "text", "half"])).mapInArrow(run, f"{kinds}, " + ", ".join(f"{c} double" for c in names))
+def joined_features(docs: DataFrame, seen: DataFrame, context: DataFrame, order: int, keep: tuple[str, ...]) -> DataFrame:
+    """Like :func:`features`, with the model as tables: nothing in a task grows with the corpus, only with a batch or a document."""
+
+    def bag(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(rows, "text"):
+            doc, code, distinct = words(batch.column("text"))
+            pair, times = np.unique(doc * max(1, len(distinct)) + code, return_counts=True)
+            doc, code = pair // max(1, len(distinct)), pair % max(1, len(distinct))
+            offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=batch.num_rows))]).astype(np.int32))
+            lists = (pa.ListArray.from_arrays(offsets, x) for x in (distinct.take(pa.array(code)), pa.array(times.astype(np.int32))))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), *lists], names=[*carried, "words", "times"])
+
+    def spell(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(rows, "word", limit=1 << 20):
+            gram, of = grams(pa.array(byte_rows(batch.column("word")), pa.binary()), order)
+            number = batch.column("number").to_numpy(zero_copy_only=False)[of]
+            yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(gram)], names=["number", "gram"])
+
+    def describe(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in rows:
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                found = batch.column("found")
+                flat, size = found.flatten(), np.array([x or 0 for x in pc.list_value_length(found).to_pylist()], dtype=np.int64)
+                times = flat.field("times").to_numpy(zero_copy_only=False)
+                doc = np.repeat(np.repeat(np.arange(batch.num_rows), size), times)
+                yield _described(batch, keep, doc, [np.repeat(flat.field(c).to_numpy(zero_copy_only=False), times) for c in ("r", "r0", "r1")])
+
+    carried = list(dict.fromkeys([*keep, "half"]))
+    kinds = ", ".join(f"`{c}` {docs.select(c).schema[0].dataType.simpleString()}" for c in carried)
+    bags = docs.select(*carried, "text").mapInArrow(bag, f"{kinds}, words array<string>, times array<int>")
+    bags = stage_compact(bags.withColumn("at", F.monotonically_increasing_id()), "bags")
+    # a word of any length is carried once; its grams have its number
+    distinct = stage_compact(bags.select(F.explode("words").alias("word")).distinct().withColumn("number", F.monotonically_increasing_id()), "words")
+    spelled = distinct.mapInArrow(spell, "number long, gram long").groupBy("number", "gram").agg(F.count("*").alias("n"))
+    ratios = ("r", "r0", "r1")
+    known = spelled.join(seen, "gram", "left")
+    # every word begins in the context of blanks, so only unknown grams ask for theirs
+    unknown = known.where("r IS NULL").select("number", "gram", "n").withColumn("context", F.shiftright("gram", 8))
+    around = unknown.join(context.withColumnRenamed("gram", "context"), "context").select("number", "n", *ratios)
+    sums = known.where("r IS NOT NULL").select("number", "n", *ratios).unionByName(around).groupBy("number").agg(*[F.sum(F.col("n") * F.col(r)).alias(r) for r in ratios])
+    size = (F.octet_length("word") + 1) * F.lit(UNIT)
+    per_word = distinct.join(sums, "number", "left").select("word", *[(F.coalesce(F.col(r), F.lit(0)).cast("double") / size).alias(r) for r in ratios])
+    asked = bags.select("at", F.explode(F.arrays_zip("words", "times")).alias("x")).select("at", F.col("x.words").alias("word"), F.col("x.times").alias("times"))
+    each = asked.join(per_word, "word").groupBy("at").agg(F.collect_list(F.struct("times", *ratios)).alias("found"))
+    return bags.select("at", *carried).join(each, "at", "left").drop("at").mapInArrow(describe, _schema(docs, keep))
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 30) -> tuple[np.ndarray, float]:
@@ -219,14 +284,13 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).join(small_side(known), "doc_id", "left")
     rows = rows.withColumn("half", F.when(F.col("label").isNotNull(), remainder(F.col("doc_id")) % 2))
     counted = stage(count_grams(rows), "grams")
-    order = ORDER
-    while order > 2 and counted.select(_tail("gram", order)).distinct().count() > ENTRIES:
-        order -= 1
-    if order < ORDER:
-        counted = stage(counted.groupBy(_tail("gram", order).alias("gram")).agg(*[F.sum(c).alias(c) for c in ("n00", "n01", "n10", "n11")]), "grams")
-    seen, context = model(counted, order)
-    shared = spark.sparkContext.broadcast((_arrays(seen), _arrays(context)))
-    found = stage(features(rows, shared, order, ("doc_id", "label", "half")), "features")
+    seen, context = (stage(x, "ratios") for x in model(counted, ORDER))
+    keep = ("doc_id", "label", "half")
+    if seen.count() + context.count() <= ENTRIES:
+        found = features(rows, spark.sparkContext.broadcast((_arrays(seen), _arrays(context))), ORDER, keep)
+    else:
+        found = joined_features(rows, seen, context, ORDER, keep)
+    found = stage(found, "features")
     sample = found.where("label IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(CURVE_ROWS).select("label", *[f"x_{f}" for f in FEATURES]).toPandas()
     weights, offset = fit_curve(sample.iloc[:, 1:].to_numpy(dtype=float), sample["label"].to_numpy(dtype=float))
     total = F.lit(offset)

@@ -120,6 +120,15 @@ def test_toxicity(spark, docs, none):
     assert {r["score"] for r in toxicity.score(docs, labels.limit(0)).collect()} == {0.5} and toxicity.score(none, labels).count() == 0
 
 
+def test_toxicity_is_the_same_by_broadcast_and_by_join(spark, docs, none, monkeypatch):
+    labels = spark.createDataFrame([(1, 0), (2, 0), (3, 0), (12, 1), (15, 1), (11, 1), (10, 0), (7, 0)], "doc_id long, toxic int")
+    scores = lambda: sorted(map(repr, toxicity.score(docs, labels).collect()))
+    small = scores()
+    monkeypatch.setattr(toxicity, "ENTRIES", 0)
+    assert scores() == small and len(set(small)) > 3
+    assert toxicity.score(none, labels).count() == 0
+
+
 def test_held_out_quality_of_both_classifiers(spark):
     d = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{d}/labels.parquet")
