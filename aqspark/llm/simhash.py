@@ -228,13 +228,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def _grouped(found: DataFrame, radius: int) -> DataFrame:
-    """``found`` (with ``doc_id``, ``fp``) and ``component_id``."""
+    """``found`` (with ``doc_id``, ``fp``), ``component_id`` and ``component``, a fingerprint of it; ids may be repeated or null, so only that tells components apart."""
     nodes = stage(found.groupBy("fp").agg(F.min("doc_id").alias("smallest")), "nodes")
     pairs = stage(links(nodes, radius), "links")
     linked = components(pairs)
     of = nodes.join(linked, nodes["fp"] == linked["node"], "left").select("fp", "smallest", F.coalesce("component", "fp").alias("component"))
     least = of.groupBy("component").agg(F.min("smallest").alias("component_id"))
-    return found.join(of.join(least, "component").select("fp", "component_id"), "fp")
+    return found.join(of.join(least, "component").select("fp", "component_id", "component"), "fp")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
@@ -242,7 +242,5 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius
     whole = stage_compact(docs.select(F.monotonically_increasing_id().alias("at"), F.struct("*").alias("row")), "rows")
     narrow = whole.select("at", F.col(f"row.`{doc_id}`").alias("doc_id"), F.col(f"row.`{text}`").alias("text"))
     found = stage(fingerprints(narrow, keep=("at", "doc_id")), "fingerprints")
-    kept = _grouped(found, radius).groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("of")).agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "at")).alias("first")
-    )
+    kept = _grouped(found, radius).groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "at")).alias("first"))
     return whole.join(kept.select(F.col("first.at").alias("at")), "at", "left_semi").select("row.*")

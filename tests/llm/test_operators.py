@@ -55,6 +55,18 @@ def test_fingerprints_and_components(spark, docs, none):
     assert kept.columns == docs.columns and kept.count() == len({c for _, _, c in got})
 
 
+def test_one_row_of_each_component_is_kept_whatever_its_ids(spark, docs):
+    base, other = (" ".join(f"{w}{i}" for i in range(200)) for w in ("word", "other"))
+    fps = [simhash.fingerprint(x.encode()) for x in (base, base + " x", other, other + " x")]
+    apart = lambda a, b: ((fps[a] ^ fps[b]) & (2**64 - 1)).bit_count()
+    assert 0 < apart(0, 1) <= 3 and 0 < apart(2, 3) <= 3 and apart(0, 2) > 6
+    rows = [(1, base), (1, other), (2, base + " x"), (None, "x y z"), (None, "p q r")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == sorted([(1, base), (1, other), (0, "x y z"), (0, "p q r")])
+    unnamed = spark.createDataFrame([(None, other), (None, other + " x"), (None, base)], "doc_id long, text string")
+    assert simhash.keep_one(unnamed).count() == 2
+
+
 @pytest.mark.parametrize("parts", [2, 3, 4, 5])
 def test_links_are_complete(spark, docs, parts):
     rng = np.random.default_rng(parts)
