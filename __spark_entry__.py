@@ -1031,10 +1031,15 @@ def _(spark, d):
 ML_FEATURES = ["pm2_5", "pm10", "no2", "o3", "hour", "timestamp_offset"]
 
 
-def _training_frame(spark, d, hours: int = 2) -> DataFrame:
+def _spread(df: DataFrame) -> DataFrame:
+    """Dealt evenly before it is written, so that a fit reads it in many tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _training_frame(spark, d, hours: int = S.HORIZON) -> DataFrame:
     """Horizon rows of all observations with a few raw features, marked train / test."""
     frame = H.horizon_targets(obs(spark, d).withColumn("hour", F.hour("timestamp")), SPEC, hours)
-    return stage(H.temporal_split(frame, SPEC), "frame")
+    return stage(_spread(H.temporal_split(frame, SPEC)), "frame")
 
 
 @query("forecast")
@@ -1108,18 +1113,18 @@ def _(spark, d):
 @query("random_search")
 def _(spark, d):
     frame = H.contiguous_folds(_training_frame(spark, d), SPEC)
-    return M.random_search(M.candidate("Ridge Regression"), stage(frame, "folds"), ML_FEATURES)[2]
+    return M.random_search(M.candidate("Ridge Regression"), stage(_spread(frame), "folds"), ML_FEATURES)[2]
 
 
 @query("cross_validate")
 def _(spark, d):
-    folded = stage(H.time_series_folds(H.even_sample(_training_frame(spark, d), SPEC), SPEC), "folds")
+    folded = stage(_spread(H.time_series_folds(H.even_sample(_training_frame(spark, d), SPEC), SPEC)), "folds")
     return M.cross_validate(M.candidate("Linear Regression"), folded, ML_FEATURES)
 
 
 def _compared(spark, d):
     frame = _training_frame(spark, d)
-    folded = stage(H.time_series_folds(frame.where("split = 'train'"), SPEC), "folds")
+    folded = stage(_spread(H.time_series_folds(frame.where("split = 'train'"), SPEC)), "folds")
     models = [M.candidate("Linear Regression"), M.candidate("Ridge Regression"), M.candidate("Gradient Boosting", n_estimators=5)]
     return M.train_compare(frame.where("split = 'train'"), frame.where("split = 'test'"), folded, ML_FEATURES, models)
 
@@ -1283,7 +1288,7 @@ def _(spark, d):
 
 @query("train_job")
 def _(spark, d):
-    prepared = P.preprocess_job(obs(spark, d).withColumn("event_id", F.lit(0)), RAW, hours=3)
+    prepared = P.preprocess_job(obs(spark, d).withColumn("event_id", F.lit(0)), RAW)
     models = [M.candidate("Linear Regression"), M.candidate("Ridge Regression")]
     return P.train_job(prepared, models, registry=new_path(spark, "registry"), trained_at=AS_OF).results
 
@@ -1291,7 +1296,7 @@ def _(spark, d):
 @query("forecast_job")
 def _(spark, d):
     o = stage(obs(spark, d), "obs")
-    model = M.fit_linear(H.horizon_targets(o.withColumn("hour", F.hour("timestamp")), SPEC, 2), ML_FEATURES)
+    model = M.fit_linear(H.horizon_targets(o.withColumn("hour", F.hour("timestamp")), SPEC), ML_FEATURES)
     return P.forecast_job(o, _current(spark, d).drop("temp"), model, ML_FEATURES, SPEC, AS_OF)[1]
 
 
