@@ -1102,18 +1102,20 @@ def _scored(spark, d, fit) -> DataFrame:
 
 @query("fit_random_forest")
 def _(spark, d):
-    return _scored(spark, d, lambda t: M.fit_random_forest(t, ML_FEATURES, n_estimators=20, max_depth=10))
+    return _scored(spark, d, lambda t: M.fit_random_forest(t, ML_FEATURES))
 
 
 @query("fit_gbt")
 def _(spark, d):
-    return _scored(spark, d, lambda t: M.fit_gbt(t, ML_FEATURES, n_estimators=10))
+    return _scored(spark, d, lambda t: M.fit_gbt(t, ML_FEATURES))
 
 
 @query("random_search")
 def _(spark, d):
-    frame = H.contiguous_folds(_training_frame(spark, d), SPEC)
-    return M.random_search(M.candidate("Ridge Regression"), stage(_spread(frame), "folds"), ML_FEATURES)[2]
+    """Every candidate that has a grid; large grids are sampled."""
+    folded = stage(_spread(H.contiguous_folds(_training_frame(spark, d), SPEC)), "folds")
+    tables = [M.random_search(c, folded, ML_FEATURES)[2].withColumn("model_name", F.lit(c.name)) for c in M.candidates() if c.grid]
+    return reduce(DataFrame.unionByName, tables)
 
 
 @query("cross_validate")
@@ -1125,8 +1127,7 @@ def _(spark, d):
 def _compared(spark, d):
     frame = _training_frame(spark, d)
     folded = stage(_spread(H.time_series_folds(frame.where("split = 'train'"), SPEC)), "folds")
-    models = [M.candidate("Linear Regression"), M.candidate("Ridge Regression"), M.candidate("Gradient Boosting", n_estimators=5)]
-    return M.train_compare(frame.where("split = 'train'"), frame.where("split = 'test'"), folded, ML_FEATURES, models)
+    return M.train_compare(frame.where("split = 'train'"), frame.where("split = 'test'"), folded, ML_FEATURES, M.candidates())
 
 
 @query("train_compare")
@@ -1289,8 +1290,7 @@ def _(spark, d):
 @query("train_job")
 def _(spark, d):
     prepared = P.preprocess_job(obs(spark, d).withColumn("event_id", F.lit(0)), RAW)
-    models = [M.candidate("Linear Regression"), M.candidate("Ridge Regression")]
-    return P.train_job(prepared, models, registry=new_path(spark, "registry"), trained_at=AS_OF).results
+    return P.train_job(prepared, registry=new_path(spark, "registry"), trained_at=AS_OF).results
 
 
 @query("forecast_job")
