@@ -167,6 +167,12 @@ def test_ordinal_gradient_and_edges(spark, docs, none):
     assert quality.select(docs, rated.where("grade = 2")).count() == len(TEXTS) and quality.select(none, rated).count() == 0
 
 
+def test_a_repeated_id_is_one_rated_row(spark, docs):
+    rated = spark.createDataFrame([(1, 2), (2, 2), (3, 1), (7, 0), (8, 0), (13, 0)], "doc_id long, grade int")
+    hot = spark.createDataFrame([(1, BASE, "en", "s", 0, "k", "s", "r", "a", "f")] * 40, SCHEMA)
+    assert np.array_equal(quality.train(docs, rated), quality.train(docs.unionByName(hot), rated))
+
+
 def test_token_ids_round_trip(spark, docs, none):
     plain = Tokenizer.from_file(TOKENIZER)
     ids = lambda t, end: np.array([*plain.encode(t or "", add_special_tokens=False).ids, end], dtype="<u4").tobytes()
