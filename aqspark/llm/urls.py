@@ -3,7 +3,7 @@
 A dated entry adds a pattern to a list or removes it. Entries become validity intervals, half open, that end at the next entry for the same pattern and list; an add that
 is never followed is open. Captures are joined as of their fetch time: by a key of their URL and the time bucket, then by the interval.
 
-Kinds of patterns: ``host`` (the host itself), ``domain`` (the host or any host below it) and ``prefix`` (host and whole path segments). Hosts are compared in lower case. At one instant a
+Kinds of patterns: ``host`` (the host itself), ``domain`` (the host or any host below it) and ``prefix`` (host and whole path segments). Hosts are compared in lower case, the rest of a prefix as it is; a slash at its end counts for nothing. At one instant a
 removal beats an addition, and repeated entries count once. A URL that is null, empty or without a host, or a null fetch time, matches nothing, and
 the capture is not blocked; entries with a null pattern or date match nothing. Repeated captures get a row each. Empty entries block nothing; an empty table of captures gives an
 empty result. Only the named columns are read.
@@ -35,7 +35,8 @@ def _bucket(time: Column, days: int) -> Column:
 def intervals(entries: DataFrame, days: int = BUCKET_DAYS) -> DataFrame:
     """``list``, ``kind``, ``pattern``, ``valid_from`` and ``valid_to`` (null: open) from ``list``, ``kind``, ``pattern``, ``action`` and ``dated``."""
     key = ["list", "kind", "pattern"]
-    known = entries.where("pattern IS NOT NULL AND dated IS NOT NULL").withColumn("pattern", F.when(F.col("kind") == "prefix", F.col("pattern")).otherwise(F.lower("pattern")))
+    name, rest = (F.regexp_extract("pattern", "(?s)^([^/]*)(.*?)/?$", k) for k in (1, 2))
+    known = entries.where("pattern IS NOT NULL AND dated IS NOT NULL").withColumn("pattern", F.when(F.col("kind") == "prefix", F.concat(F.lower(name), rest)).otherwise(F.lower("pattern")))
     one = known.groupBy(*key, "dated").agg(F.min((F.col("action") == "add").cast("int")).alias("added")).withColumn("bucket", _bucket(F.col("dated"), days))
     # the next entry lies in the same bucket or is the first of a later one, so a window holds one bucket of a pattern
     firsts = one.groupBy(*key, "bucket").agg(F.min("dated").alias("first"))

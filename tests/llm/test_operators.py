@@ -267,6 +267,15 @@ def test_urls(spark):
     assert urls.judge(c, e.limit(0), "page_id").where("blocked").count() == 0 and urls.judge(c.limit(0), e, "page_id").count() == 0
 
 
+def test_prefixes_with_capital_hosts_and_slashes_at_the_end(spark):
+    entries = [("ads", "prefix", "Ads.Example.com/X", "add"), ("ads", "prefix", "example.org/ads/", "add"), ("ads", "prefix", "Whole.net/", "add"), ("ads", "prefix", "off.net/a/", "add"), ("ads", "prefix", "OFF.net/a", "remove")]
+    captures = [(1, "http://ads.example.com/X/y"), (2, "http://ADS.example.com/X"), (3, "http://ads.example.com/x"), (4, "http://example.org/ads/x"), (5, "http://example.org/ads"), (6, "http://example.org/ads/"), (7, "http://example.org/adsx"), (8, "http://whole.net/any"), (9, "http://off.net/a/b")]
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    e = spark.createDataFrame(entries, "list string, kind string, pattern string, action string").withColumn("dated", at)
+    c = spark.createDataFrame(captures, "page_id long, url string").withColumn("fetched_at", at)
+    assert sorted(r["id"] for r in urls.judge(c, e, "page_id").where("blocked").collect()) == [1, 2, 4, 5, 6, 8]
+
+
 def test_pipeline(spark, tmp_path, docs):
     d = "/root/testdata/sf0.001"
     whole = spark.read.parquet(f"{d}/documents.parquet")
