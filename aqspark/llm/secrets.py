@@ -22,7 +22,7 @@ KINDS: dict[str, tuple[str, int, int]] = {
     "access": (r"AKIA[A-Z0-9]+", 0, 20),
     "hex": (r"[0-9a-f]{24,}", 0, 24),
     "bearer": (r"(?i:bearer)\x20+([A-Za-z0-9._~+/-]{16,}=*)", 1, 16),
-    "userinfo": (r"[A-Za-z][A-Za-z0-9+.-]*://[^\s/:@]{1,256}:([^\s/:@]{6,256})@", 1, 6),
+    "userinfo": (r"[A-Za-z][A-Za-z0-9+.-]*://[^\s/:@]*+:([^\s/:@]{6,}+)@", 1, 6),
     "prefixed": (r"(?<![A-Za-z0-9])(?:gh[pousr]|sk|pk|rk|xox[abprs]|glpat)[-_]([A-Za-z0-9_-]{16,})", 1, 16),
 }
 BASE = ("assign", "access", "hex")
@@ -56,7 +56,7 @@ def candidates(docs: DataFrame, doc_id: str, text: str, owner: str, repository:
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(owner).cast("string").alias("owner"), F.col(repository).cast("string").alias("repository"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     none = F.array().cast("array<struct<start: int, kind: int, end: int, value: string>>")
     found = F.array_sort(F.concat(*[F.coalesce(_found(k, i), none) for i, k in enumerate(KINDS)]))
-    hashed = F.transform("found", lambda x: F.struct(x["start"], x["kind"], x["end"], F.sha2(x["value"], 256).alias("hash"), (F.size(F.array_distinct(F.split(x["value"], ""))) > LIVE_CHARACTERS).alias("random")))
+    hashed = F.transform("found", lambda x: F.struct(x["start"], x["kind"], x["end"], F.sha2(x["value"], 256).alias("hash"), (F.size(F.array_distinct(F.split(x["value"], ""))) >= LIVE_CHARACTERS).alias("random")))
     return stage(rows.select(F.monotonically_increasing_id().alias("at"), "doc_id", "owner", "repository", found.alias("found")).withColumn("spans", hashed).drop("found"), "candidates")
 
 

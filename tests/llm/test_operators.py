@@ -228,6 +228,13 @@ def test_values_of_many_owners_are_examples(spark):
     assert sorted((r["doc_id"], len(r["spans"])) for r in got) == [(0, 0), (1, 0), (2, 0), (3, 0), (9, 1), (9, 1)]
 
 
+def test_userinfo_of_any_length_and_values_of_six_characters(spark):
+    texts = ["redis://:password@host", "http://u:" + "abcdefgh" * 100 + "@host", "http://" + "u" * 300 + ":secretpw@host", "http://u:abcdef@host", "http://u:abcdea@host", "http://u:short@host"]
+    got = secrets.scan(spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")).collect()
+    spans = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "userinfo"] for r in got}
+    assert spans == {i: [(0, t.index("@") + 1)] if i < 4 else [] for i, t in enumerate(texts)}
+
+
 @pytest.mark.parametrize("weak", [False, True])
 def test_exact(docs, none, weak):
     key = (lambda c: F.unhex(F.lit("00"))) if weak else exact.digest
