@@ -65,11 +65,19 @@ class Boundaries:
                 left, byte, skip = left - len(ones), byte + 64, 0
         return ((at - i) << self.low_bits) | int(self._low(np.array([i]))[0])
 
-    def all(self) -> np.ndarray:
-        place = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))
-        i = np.arange(self.n + 1)
+    def span(self, a: int, b: int) -> np.ndarray:
+        """Boundaries ``a`` to ``b``, decoded from the sample before the first to the one after the last."""
+        k, end = a // SAMPLE, b // SAMPLE + 1
+        at = int(self.samples[k])
+        stop = int(self.samples[end]) if end < len(self.samples) else 8 * len(self.high)
+        place = np.flatnonzero(np.unpackbits(self.high[at >> 3 : (stop >> 3) + 1], bitorder="little")) + (at >> 3 << 3)
+        place = place[np.searchsorted(place, at) :][a - k * SAMPLE : b - k * SAMPLE + 1]
+        i = np.arange(a, b + 1)
         return ((place - i) << self.low_bits) | self._low(i)
 
+    def all(self) -> np.ndarray:
+        return self.span(0, self.n)
+
 
 def encode_chunk(ids: np.ndarray, offsets: np.ndarray, id_bytes: int) -> bytes:
     edge = Boundaries.encode(offsets)
@@ -146,19 +154,44 @@ def read_ids(spark, path: str) -> DataFrame:
         for batch in rows:
             for before, names, data in zip(*(batch.column(c).to_pylist() for c in ("before", "doc_ids", "data"))):
                 edge, ids = decode_chunk(data)
-                offsets = edge.all()
                 step = max(1, (4 << 20) * edge.n // max(1, len(ids)))
                 for a in range(0, edge.n, step):
                     b = min(edge.n, a + step)
-                    raw = ids[offsets[a] : offsets[b]].astype("<u4").tobytes()
-                    at = ((offsets[a : b + 1] - offsets[a]) * 4).tolist()
-                    columns = [pa.array(names[a:b], pa.int64()), pa.array(offsets[a:b] + before), pa.array(np.diff(offsets[a : b + 1])), pa.array([raw[x:y] for x, y in zip(at, at[1:])], pa.binary())]
+                    offsets = edge.span(a, b)
+                    raw = ids[offsets[0] : offsets[-1]].astype("<u4").tobytes()
+                    at = ((offsets - offsets[0]) * 4).tolist()
+                    columns = [pa.array(names[a:b], pa.int64()), pa.array(offsets[:-1] + before), pa.array(np.diff(offsets)), pa.array([raw[x:y] for x, y in zip(at, at[1:])], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids"])
+
+    return _placed(spark, path).mapInArrow(run, _READ)
+
+
+def read_documents(spark, path: str, doc_ids: list[int]) -> DataFrame:
+    """Like :func:`read_ids` for a few documents, each found by ``select``; other chunks are not decoded."""
+    wanted = frozenset(doc_ids)
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            for before, names, data in zip(*(batch.column(c).to_pylist() for c in ("before", "doc_ids", "data"))):
+                edge, ids = decode_chunk(data)
+                for i in (i for i, name in enumerate(names) if name in wanted):
+                    a, b = edge.select(i), edge.select(i + 1)
+                    columns = [pa.array([names[i]], pa.int64()), pa.array([a + before]), pa.array([b - a]), pa.array([ids[a:b].astype("<u4").tobytes()], pa.binary())]
                     yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids"])
 
+    has = F.exists("doc_ids", lambda x: x.isin(list(wanted)))
+    return _placed(spark, path).where(has).mapInArrow(run, _READ)
+
+
+_READ = "doc_id long, start long, n_tokens long, ids binary"
+
+
+def _placed(spark, path: str) -> DataFrame:
+    """The chunks with ``before``, the number of ids of all chunks before."""
     chunks = spark.read.schema("part long, number long, doc_ids array<long>, n_ids long, data binary").parquet(path)
     # sums before each part (as many rows as tasks wrote), then before each chunk of the part
     totals = chunks.groupBy("part").agg(F.sum("n_ids").alias("n"))
     parts = totals.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("parts_before"))
     own = chunks.select("part", "number", (F.sum("n_ids").over(W.partitionBy("part").orderBy("number")) - F.col("n_ids")).alias("own_before"))
     starts = own.join(parts, "part").select("part", "number", (F.col("parts_before") + F.col("own_before")).alias("before"))
-    return chunks.join(small_side(starts), ["part", "number"]).select("before", "doc_ids", "data").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return chunks.join(small_side(starts), ["part", "number"]).select("before", "doc_ids", "data")

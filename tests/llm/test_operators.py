@@ -211,6 +211,18 @@ def test_elias_fano_select(sizes):
     assert (edge.all() == offsets).all() and [edge.select(i) for i in range(len(offsets))] == offsets.tolist()
 
 
+def test_ranges_and_single_documents(spark, docs):
+    rng = np.random.default_rng(0)
+    for sizes in ([0], [1] * 300, [0] * 200, rng.integers(0, 50, 1000), [10**6, 1, 0, 3] * 40):
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        edge = elias_fano.Boundaries.encode(offsets)
+        for a, b in [(0, len(sizes)), *(sorted(rng.integers(0, len(sizes) + 1, 2).tolist()) for _ in range(30))]:
+            assert edge.span(a, b).tolist() == offsets[a : b + 1].tolist()
+    path = elias_fano.write_ids(docs, TOKENIZER, chunk_ids=500)
+    rows = lambda found: sorted((r["doc_id"], r["start"], r["n_tokens"], bytes(r["ids"])) for r in found.collect())
+    assert rows(elias_fano.read_documents(spark, path, [2, 9, 11, 999])) == rows(elias_fano.read_ids(spark, path).where("doc_id IN (2, 9, 11)"))
+
+
 def test_secrets(docs, none):
     letters = lambda w: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w)
     keys = "|".join(map(letters, ("password", "passwd", "secret", "token"))) + f"|{letters('api')}_?{letters('key')}"
