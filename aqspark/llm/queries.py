@@ -10,7 +10,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aqspark.llm import contamination, elias_fano, exact, packing, quality, secrets, sharding, simhash, toxicity, urls
+from aqspark.llm import contamination, elias_fano, exact, filter_audit, licenses, packing, quality, resampling, secrets, sharding, simhash, toxicity, urls
 from aqspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +170,71 @@ def _(spark, d):
     return found.select(
         F.col("id").alias("page_id"), "host", "fetched_at", F.coalesce(F.size("matches"), F.lit(0)).cast("long").alias("n_matches"), F.coalesce(lists, F.lit("")).alias("lists"), "blocked"
     )
+
+
+# ---- licences, resampling, filter audit ------------------------------------------------------------
+
+
+@query("op11_licenses")
+def _(spark, d):
+    found = licenses.scan(table(spark, d, "documents"))
+    base = F.filter("detections", lambda x: x["kind"] == "base")
+    spelled = lambda spans: F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda x: x["label"]))), ",")
+    starts = F.transform(base, lambda x: x["first"])
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        spelled(base).alias("base_labels"), spelled(F.col("detections")).alias("labels"), "score",
+    )
+
+
+def _crc_table() -> list[int]:
+    """What a byte makes of an empty CRC-32 register, by the rule of the reflected polynomial."""
+    out = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ 0xEDB88320 if c & 1 else c >> 1
+        out.append(c)
+    return out
+
+
+_CRC = f"""xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(octet_length(encode(w))), lambda i: ('0x' || substr(hex(encode(w)), 2 * i + 1, 2))::UBIGINT)),
+    lambda a, b: xor(a >> 8, {_crc_table()}[((xor(a, b) & 255) + 1)::BIGINT]::UBIGINT)), 4294967295::UBIGINT)"""
+
+
+@query(
+    "op12_resampling",
+    f"""WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents), each AS (SELECT doc_id, unnest(ws) AS w FROM d), aim AS (SELECT unnest({_WORDS}) AS w FROM benchmark),
+    v AS (SELECT w, {_CRC} % 10000 AS k FROM (SELECT w FROM each UNION SELECT w FROM aim)),
+    s AS (SELECT k, count(*) AS s FROM each JOIN v ON each.w = v.w GROUP BY 1), t AS (SELECT k, count(*) AS t FROM aim JOIN v ON aim.w = v.w GROUP BY 1),
+    g AS (SELECT s.k, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT sum(s) FROM s) + 10000)::DOUBLE / ((s + 1)::DOUBLE * (coalesce((SELECT sum(t) FROM t), 0) + 10000)::DOUBLE)))::BIGINT AS gain
+      FROM s LEFT JOIN t ON s.k = t.k),
+    x AS (SELECT doc_id, count(*) AS n, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM each JOIN v ON each.w = v.w JOIN g ON g.k = v.k GROUP BY 1),
+    y AS (SELECT d.doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+      coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM d LEFT JOIN x ON x.doc_id = d.doc_id),
+    r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM y WHERE n_features >= 20)
+    SELECT y.doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END::BIGINT AS rank FROM y LEFT JOIN r ON r.doc_id = y.doc_id""",
+)
+def _(spark, d):
+    return resampling.resample(table(spark, d, "documents"), table(spark, d, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query(
+    "op13_filter_audit",
+    r"""WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+    w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w, min(doc_id) OVER (PARTITION BY t) AS first FROM t),
+    f AS (SELECT part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS bad, (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+      + 4 * (100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 3 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * (w.doc_id > first)::INT AS m
+      FROM w LEFT JOIN labels ON labels.doc_id = w.doc_id),
+    c AS (SELECT part, m, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (bad) AS x FROM f GROUP BY 1, 2),
+    l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l, unnest([1, 2, 4, 8, 16]) AS b),
+    o AS (SELECT p.l || q.l || r.l || s.l || u.l AS filter_order, [p.b, q.b, r.b, s.b, u.b] AS bits FROM l p, l q, l r, l s, l u WHERE p.b + q.b + r.b + s.b + u.b = 31 AND (p.b | q.b | r.b | s.b | u.b) = 31),
+    k AS (SELECT filter_order, step, bits[step] AS b, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS s FROM o, range(1, 6) AS z(step)),
+    e AS (SELECT part, filter_order, step, any_value(b) AS b, coalesce(sum(n) FILTER ((m & (s | b)) = 0), 0) AS kept, coalesce(sum(n) FILTER ((m & s) = 0 AND (m & b) > 0), 0) AS removed,
+      coalesce(sum(n) FILTER ((m & s) > 0 AND (m & b) > 0), 0) AS redundant, coalesce(sum(n) FILTER (m = b), 0) AS unique_fails,
+      coalesce(sum(g) FILTER ((m & s) = 0 AND (m & b) > 0), 0) AS good_lost, coalesce(sum(x) FILTER ((m & s) = 0 AND (m & b) > 0), 0) AS toxic_lost FROM c, k GROUP BY 1, 2, 3)
+    SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+      good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, b))::BIGINT AS shapley FROM e""",
+)
+def _(spark, d):
+    cells = filter_audit.failures(table(spark, d, "documents"), table(spark, d, "labels"))
+    return filter_audit.audit(cells, "ABCDE")
