@@ -69,9 +69,11 @@ def with_position(df: DataFrame, spec: ObsSpec) -> DataFrame:
     return _numbered(bucketed, starts, spec, [], None, POS).select(*df.columns, POS)
 
 
-def in_blocks(df: DataFrame, spec: ObsSpec, before: int, after: int = 0) -> DataFrame:
+def in_blocks(df: DataFrame, spec: ObsSpec, before: int, after: int = 0, heads: DataFrame | None = None) -> DataFrame:
     """Cut positioned rows into blocks; each block also holds ``before`` earlier and ``after`` later
-    rows as copies (``_own`` false). A row has at most two copies besides its own."""
+    rows as copies (``_own`` false). A row has at most two copies besides its own.
+
+    ``heads``: a row per (entity, block) with further columns, which joins its block at position -1."""
     size = max(spec.block_rows, before, after)
     block = F.floor(F.col(POS) / F.lit(size))
     local = F.col(POS) - block * size
@@ -87,8 +89,11 @@ def in_blocks(df: DataFrame, spec: ObsSpec, before: int, after: int = 0) -> Data
         .when(behind, F.array(to(0), to(-1)))
         .otherwise(F.array(to(0)))
     )
-    exploded = df.withColumn("_copy", F.explode(copies))
-    return by_group(exploded.select(*df.columns, f"_copy.{BLOCK}", f"_copy.{OWN}"), spec, BLOCK)
+    exploded = df.withColumn("_copy", F.explode(copies)).select(*df.columns, f"_copy.{BLOCK}", f"_copy.{OWN}")
+    if heads is not None:
+        marked = heads.withColumns({POS: F.lit(-1).cast("long"), OWN: F.lit(False)})
+        exploded = exploded.unionByName(marked, allowMissingColumns=True)
+    return by_group(exploded, spec, BLOCK)
 
 
 def block_window(spec: ObsSpec) -> W:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 from pyspark.sql.window import WindowSpec
 
@@ -162,9 +164,11 @@ def ratio_features(df: DataFrame) -> DataFrame:
 
 # ---- exponentially weighted mean -----------------------------------------------------------
 
-# e**-40 is below double precision: rows further back no longer change the result
+# e**-40 is below double precision: weights that small no longer change the result
 _NEGLIGIBLE = 40.0
 _MAX_EXPONENT = 600.0
+_SUB_BLOCKS = 12  # of a block, so that the decays between them stay within the exponent too
+_HEAD = -1  # sub-block and position of the row that brings what was known before a block
 
 
 def _decay(span: int) -> float:
@@ -172,24 +176,74 @@ def _decay(span: int) -> float:
 
 
 def ewm_reach(spans=S.EWM_SPANS) -> int:
+    """Known rows back from which a value still counts."""
     return max(math.ceil(_NEGLIGIBLE / _decay(s)) for s in spans)
 
 
-def _ewm_groups(spans) -> list[tuple[int, list[int]]]:
-    """Spans that can share one sub-block length: long enough to forget, short enough for the exponent."""
-    groups: list[tuple[int, list[int]]] = []
-    for span in sorted(spans, reverse=True):
-        if groups and groups[-1][0] * _decay(span) <= _MAX_EXPONENT:
-            groups[-1][1].append(span)
-        else:
-            groups.append((ewm_reach([span]), [span]))
-    return groups
+def _sub_length(spans) -> int:
+    return int(_MAX_EXPONENT / max(map(_decay, spans)))
 
 
-def _with_sub_blocks(df: DataFrame, spec: ObsSpec, reach: int, length: int) -> DataFrame:
+def _ewm_spec(spec: ObsSpec, spans, before: int = 0) -> ObsSpec:
+    """Blocks small enough for the exponents of these spans; the heads make any size exact."""
+    return spec.with_(block_rows=max(before, min(spec.block_rows, _SUB_BLOCKS * _sub_length(spans) - before)))
+
+
+def _step(span: int, gap: str) -> tuple[str, str, str]:
+    """A known value after ``gap`` rows: what the mean before it keeps, what the value gets, and the logarithm of the first, negated."""
+    a, q = f"{2 / (span + 1)!r}D", f"exp(-{_decay(span)!r}D * {gap})"
+    return f"{q} / ({q} + {a})", f"{a} / ({q} + {a})", f"({gap} * {_decay(span)!r}D + ln({q} + {a}))"
+
+
+def _ewm_heads(df: DataFrame, spec: ObsSpec, column: str, spans) -> DataFrame:
+    """A row per (entity, block): the last known position and value before the block, and the weighted means there.
+
+    Reads the key and one column. Inside a block the steps after its first known value add up to a factor and a
+    sum, whatever the gaps; blocks of an entity, one row each, are then chained in order.
+    """
+    rows = B.with_position(df.select(*dict.fromkeys([spec.entity, *spec.order]), F.col(column).cast("double").alias("_x")), spec)
+    rows = B.by_group(rows.withColumn(B.BLOCK, F.floor(F.col(B.POS) / F.lit(spec.block_rows))), spec, B.BLOCK)
+    over = B.block_over(spec)
+    known = _with_exprs(rows, {"_at": f"if(_x IS NULL, NULL, {B.POS})"})
+    known = _with_exprs(known, {"_gap": f"_at - last(_at, true) OVER ({over} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"})
+    steps = _with_exprs(known, {f"_d_{s}": f"coalesce({_step(s, '_gap')[2]}, 0D)" for s in spans})
+    whole = f"PARTITION BY `{spec.entity}`, {B.BLOCK}"
+    sums = {f"_c_{s}": f"sum(_d_{s}) OVER ({over} ROWS UNBOUNDED PRECEDING)" for s in spans} | {f"_t_{s}": f"sum(_d_{s}) OVER ({whole})" for s in spans}
+    steps = _with_exprs(steps, sums)
+    totals = ["min(_at) AS first", "max(_at) AS last", "min_by(_x, _at) AS first_x", "max_by(_x, _at) AS last_x"]
+    totals += [f"exp(-max(_t_{s})) AS keep_{s}" for s in spans]
+    totals += [f"coalesce(sum({_step(s, '_gap')[1]} * _x * exp(_c_{s} - _t_{s})), 0D) AS add_{s}" for s in spans]
+    summed = steps.groupBy(spec.entity, B.BLOCK).agg(*map(F.expr, totals))
+    names = ["_last_pos", "_last_x", *(f"_y_{s}" for s in spans)]
+
+    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(B.BLOCK)
+        alpha = np.array([2 / (s + 1) for s in spans])
+        keep, add = (pdf[[f"{k}_{s}" for s in spans]].to_numpy() for k in ("keep", "add"))
+        out, last, last_x, y = [], np.nan, np.nan, np.full(len(spans), np.nan)
+        for i, (first, end, x, x_end) in enumerate(pdf[["first", "last", "first_x", "last_x"]].to_numpy(dtype=float)):
+            out.append((last, last_x, *y))
+            if not np.isnan(first):
+                if np.isnan(last):
+                    y = np.full(len(spans), x)
+                else:
+                    q = (1 - alpha) ** (first - last)
+                    y = (q * y + alpha * x) / (q + alpha)
+                y, last, last_x = keep[i] * y + add[i], end, x_end
+        found = pd.DataFrame(out, columns=names)
+        found.insert(0, spec.entity, pdf[spec.entity].to_numpy())
+        found.insert(1, B.BLOCK, pdf[B.BLOCK].to_numpy())
+        return found
+
+    kind = df.schema[spec.entity].dataType.simpleString()
+    heads = summed.groupBy(spec.entity).applyInPandas(chain, f"`{spec.entity}` {kind}, {B.BLOCK} long, " + ", ".join(f"{n} double" for n in names))
+    return heads.select(spec.entity, B.BLOCK, *[F.nanvl(n, F.lit(None)).alias(n) for n in names])
+
+
+def _with_sub_blocks(df: DataFrame, spec: ObsSpec, before: int, length: int) -> DataFrame:
     # counted from the earliest row a block can hold, so that it is never negative
-    local = F.col(B.POS) - F.col(B.BLOCK) * F.lit(max(spec.block_rows, reach)) + reach
-    return df.withColumns({B.SUB: F.floor(local / F.lit(length)), "_j": local % length})
+    local = f"({B.POS} - {B.BLOCK} * {max(spec.block_rows, before)} + {before})"
+    return _with_exprs(df, {B.SUB: f"if({B.POS} = {_HEAD}, {_HEAD}, {local} div {length})", "_j": f"{local} % {length}"})
 
 
 def _sub_window(spec: ObsSpec) -> WindowSpec:
@@ -197,44 +251,55 @@ def _sub_window(spec: ObsSpec) -> WindowSpec:
     return W.partitionBy(spec.entity, B.BLOCK).orderBy(B.SUB, B.POS)
 
 
-def _ewm(df: DataFrame, spec: ObsSpec, column: str, length: int, spans) -> DataFrame:
-    """y[t] = q*y[t-1] + a*x[t-1], seeded with the first value; ``_shifted`` holds x[t-1].
+def _known_before(df: DataFrame, spec: ObsSpec, column: str, spans) -> DataFrame:
+    """What the head of a block brought, on all its rows, and the last known row and value of the block itself."""
+    over = B.block_over(spec, B.SUB)
+    so_far, before = f"{over} ROWS UNBOUNDED PRECEDING", f"{over} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    df = _with_exprs(df, {"_x": f"if({B.OWN}, CAST(`{column}` AS DOUBLE), NULL)"})
+    exprs = {"_prev": f"last(if(_x IS NULL, NULL, {B.POS}), true) OVER ({before})", "_held": f"last(coalesce(_x, _last_x), true) OVER ({so_far})"}
+    exprs |= {f"_first{n}": f"first({n}) OVER ({so_far})" for n in ("_last_pos", *(f"_y_{s}" for s in spans))}
+    return _with_exprs(df, exprs)
+
+
+def _ewm(df: DataFrame, spec: ObsSpec, column: str, before: int, length: int, spans) -> DataFrame:
+    """pandas' recursion with gaps: after ``g`` rows, y = (q**g * y + a * x) / (q**g + a); an unknown row holds y.
 
-    Inside a sub-block this is ``q**j * sum(a*x[i] * q**-i)``, a running sum; the sub-block before
-    contributes its last value times ``q**(j+1)``; older ones are below double precision.
+    So each known row keeps a share of the mean before it and adds its own. Inside a sub-block the shares multiply to
+    ``exp(-_c)``, and means are a running sum of scaled terms; the share of its first known row goes to what comes from outside, so that
+    a long gap costs no precision. Sub-blocks are chained the same way, from the mean that the head brought.
     """
     inside = f"PARTITION BY `{spec.entity}`, {B.BLOCK}, {B.SUB} ORDER BY {B.POS} ROWS UNBOUNDED PRECEDING"
     across = f"{B.block_over(spec, B.SUB)} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-    locals_, results = {}, {}
-    for span in spans:
-        a, decay = 2 / (span + 1), f"{_decay(span)!r}D"
-        down = f"exp(-_j * {decay})"
-        term = f"_shifted * if({B.POS} = 1, 1D, {a!r}D) * exp(_j * {decay})"
-        locals_[f"_loc_{span}"] = f"sum({term}) OVER ({inside}) * {down}"
-        carry = f"last(if(_j = {length - 1}, _loc_{span}, NULL), true) OVER ({across})"
-        value = f"_loc_{span} + coalesce({carry}, 0D) * {1 - a!r}D * {down}"
-        results[f"{column}_ewm_{span}h"] = f"if(_shifted IS NOT NULL, {value}, NULL)"
-    return _with_exprs(_with_exprs(df, locals_), results).drop(*locals_)
-
-
-def _shifted(column: str, w: WindowSpec) -> Column:
-    """The value one row before; a gap is an error, because it would silently lose weight."""
-    previous = F.lag(column, 1).over(w)
-    return F.when(
-        previous.isNull() & (F.col(B.POS) > 0) & F.col(B.OWN),
-        F.raise_error(F.lit(f"impute {column} before its weighted mean")).cast("double"),
-    ).otherwise(previous.cast("double"))
+    prev_sub = f"((_prev - {B.BLOCK} * {max(spec.block_rows, before)} + {before}) div {length})"
+    kept = [c for c in df.columns if not c.startswith(("_first", "_last_", "_y_"))]
+    df = _with_exprs(df, {"_gap": f"if(_x IS NULL, NULL, {B.POS} - coalesce(_prev, _first_last_pos))", "_leads": f"_x IS NOT NULL AND (_prev IS NULL OR {prev_sub} < {B.SUB})"})
+    stages: list[dict[str, str]] = [{}, {}, {}, {}, {}, {}]
+    end = f"({B.POS} >= 0 AND _j = {length - 1})"
+    for s in spans:
+        share, own, decay = _step(s, "_gap")
+        stages[0] |= {f"_d_{s}": f"if(_leads OR _x IS NULL, 0D, {decay})", f"_a_{s}": f"if(_leads, coalesce({share}, 0D), NULL)"}
+        stages[1] |= {f"_c_{s}": f"sum(_d_{s}) OVER ({inside})", f"_o_{s}": f"coalesce(first(_a_{s}, true) OVER ({inside}), 1D)"}
+        term = f"coalesce(coalesce({own}, 1D) * _x * exp(_c_{s}), 0D)"
+        stages[2] |= {f"_l_{s}": f"sum({term}) OVER ({inside}) * exp(-_c_{s})", f"_w_{s}": f"_o_{s} * exp(-_c_{s})"}
+        lost = f"if(_w_{s} < {math.exp(-_NEGLIGIBLE)!r}D, {_NEGLIGIBLE}D, -ln(_w_{s}))"
+        stages[3] |= {f"_k_{s}": f"if({end}, {lost}, 0D)", f"_b_{s}": f"coalesce(sum(if({end}, {lost}, 0D)) OVER ({across}), 0D)"}
+        outside = f"exp(-_b_{s}) * (coalesce(sum(if({end}, _l_{s} * exp(_b_{s} + _k_{s}), 0D)) OVER ({across}), 0D) + coalesce(_first_y_{s}, 0D))"
+        stages[4] |= {f"_m_{s}": f"if(coalesce(_x, _prev, _first_last_pos) IS NULL, NULL, _l_{s} + _w_{s} * {outside})"}
+        stages[5] |= {f"{column}_ewm_{s}h": f"lag(_m_{s}, 1) OVER ({B.block_over(spec, B.SUB)})"}
+    for stage in stages:
+        df = _with_exprs(df, stage)
+    return df.select(*kept, *stages[5])
 
 
 def ewm_features(df: DataFrame, spec: ObsSpec, column: str | None = None, spans=S.EWM_SPANS) -> DataFrame:
-    """Recursive weighted means of all earlier rows. The column must hold no nulls (impute first)."""
+    """Recursive weighted means of all earlier rows, also over gaps of any length: weights decay by row, an unknown row holds the mean."""
     column = column or spec.target
-    reach = ewm_reach(spans) + 1
-    out = B.in_blocks(B.with_position(df, spec), spec, before=reach)
-    for length, members in _ewm_groups(spans):
-        out = _with_sub_blocks(out, spec, reach, length)
-        out = _ewm(out.withColumn("_shifted", _shifted(column, _sub_window(spec))), spec, column, length, members)
-    return out.where(B.OWN).drop(B.POS, B.BLOCK, B.OWN, B.SUB, "_j", "_shifted")
+    spec = _ewm_spec(spec, spans)
+    length = _sub_length(spans)
+    out = B.in_blocks(B.with_position(df, spec), spec, before=0, heads=_ewm_heads(df, spec, column, spans))
+    out = _known_before(_with_sub_blocks(out, spec, 0, length), spec, column, spans)
+    # the mean of the row before the block's first is the one that the head brought, and the head holds it
+    return _ewm(out, spec, column, 0, length, spans).where(B.OWN).select(*df.columns, *[f"{column}_ewm_{s}h" for s in spans])
 
 
 # ---- everything ----------------------------------------------------------------------------
@@ -245,23 +310,23 @@ def feature_reach() -> int:
 
 
 def all_features(df: DataFrame, spec: ObsSpec) -> DataFrame:
-    """Calendar, lag, rolling, change, ratio and weighted features of an imputed observation frame.
+    """Calendar, lag, rolling, change, ratio and weighted features of an observation frame; the target may have gaps.
 
-    One shuffle numbers the rows, one brings blocks together; all windows share the second.
+    One shuffle numbers the rows, one brings blocks together; all windows share the second. The weighted means take
+    what was known before a block from a pass over the key and the target alone.
     """
     column = spec.target
-    reach = feature_reach()
-    ((length, spans),) = _ewm_groups(S.EWM_SPANS)
-    blocked = B.in_blocks(B.with_position(df, spec), spec, before=reach)
-    blocked = _with_sub_blocks(blocked, spec, reach, length)
+    before = max(max(S.LAGS), 24 * max(S.ROLLING_DAYS))
+    spec, spans, length = _ewm_spec(spec, S.EWM_SPANS, before), S.EWM_SPANS, _sub_length(S.EWM_SPANS)
+    blocked = B.in_blocks(B.with_position(df, spec), spec, before=before, heads=_ewm_heads(df, spec, column, spans))
+    blocked = _known_before(_with_sub_blocks(blocked, spec, before, length), spec, column, spans)
     w = _sub_window(spec)
     exprs = lag_exprs(column, S.LAGS, w)
     exprs |= {f"{p}_lag_1": F.lag(p, 1).over(w) for p in S.LAGGED_POLLUTANTS if p in df.columns}
     exprs |= diff_exprs(column, w)
-    exprs[f"{column}_pct_1h"] = pct_expr(F.col(column), F.lag(column, 1).over(w))
-    exprs["_shifted"] = _shifted(column, w)
+    exprs[f"{column}_pct_1h"] = pct_expr(F.col("_held"), F.lag("_held", 1).over(w))
     rolled = with_rolling(blocked, column, S.ROLLING_DAYS, B.block_over(spec, B.SUB))
-    rows = _ewm(rolled.withColumns(exprs), spec, column, length, spans).where(B.OWN)
+    rows = _ewm(rolled.withColumns(exprs), spec, column, before, length, spans).where(B.OWN)
     return time_features(ratio_features(rows), spec.time).select(*df.columns, *feature_names(df, spec))
 
 

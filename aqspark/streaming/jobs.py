@@ -92,8 +92,10 @@ def stream_features(
         spark = batch.sparkSession
         # rows of this batch are at hand again for the three uses below
         new = stage(batch, "batch")
-        St.upsert_features(observations, new, spec, shards)
-        since = stage(new.groupBy(spec.entity).agg(F.min(spec.time).alias("_since")), "since")
+        St.upsert_features(observations, new, spec, shards, zero_fill=False)  # an unknown reading stays unknown in later windows
+        since = stage(new.where(F.col(spec.time).isNotNull() & F.col(spec.entity).isNotNull()).groupBy(spec.entity).agg(F.min(spec.time).alias("_since")), "since")
+        if since.isEmpty():
+            return
         context = _context(spark, observations, since, spec, shards, lookback_days)
         rows = Ft.all_features(context, spec.with_(seq=None))
         # upsert_features stages its input before it writes

@@ -105,11 +105,40 @@ def test_ewm_of_unlike_spans(spark, spans):
     same(got, expected, list(expected.columns))
 
 
-def test_ewm_refuses_gaps(spark):
-    pdf = series(6, (("a", 100),))
-    pdf.loc[10, "aqi"] = np.nan
-    with pytest.raises(Exception, match="impute aqi"):
-        Ft.ewm_features(frame(spark, pdf), SMALL).collect()
+@pytest.mark.parametrize("block_rows, spans", [(64, (12, 24, 72)), (16384, (12, 24, 72)), (16384, (2, 200)), (100, (3, 500))])
+def test_ewm_over_gaps_equals_pandas(spark, block_rows, spans):
+    rng = np.random.default_rng(6)
+    pdf = series(6, (("a", 2600), ("b", 700), ("c", 3), ("d", 40)), nulls=0.3)
+    a = pdf.index[pdf.city == "a"]
+    pdf.loc[a[200:900], "aqi"] = np.nan  # longer than blocks, and longer than any weight lasts
+    pdf.loc[a[1200:1700], "aqi"] = np.where(rng.uniform(size=500) < 0.02, 7.0, np.nan)
+    pdf.loc[pdf.index[pdf.city == "b"][:90], "aqi"] = np.nan  # unknown at first
+    pdf.loc[pdf.city == "d", "aqi"] = np.nan  # never known
+    got = ordered(Ft.ewm_features(frame(spark, pdf), SMALL.with_(block_rows=block_rows), spans=spans))
+
+    def weighted(g):
+        g = g.sort_values("timestamp").copy()
+        for s in spans:
+            g[f"aqi_ewm_{s}h"] = g["aqi"].shift(1).ewm(span=s, adjust=False).mean()
+        return g
+
+    same(got, per_city(pdf, weighted), [f"aqi_ewm_{s}h" for s in spans])
+
+
+def test_all_features_over_gaps_equal_pandas(spark):
+    pdf = series(9, nulls=0.2)
+    pdf.loc[300:800, "aqi"] = np.nan
+    df = frame(spark, pdf)
+    for spec in (SMALL, ObsSpec(bucket_days=30)):
+        got = ordered(Ft.all_features(df, spec))
+
+        def features(g):
+            g = expected_features(g)
+            held = g["aqi"].ffill()
+            g["aqi_pct_1h"] = (held / held.shift(1) - 1).replace([np.inf, -np.inf], 0)
+            return g
+
+        same(got, per_city(pdf, features), [c for c in Ft.feature_names(df, spec) if c not in ("pm_ratio", "no2_o3_ratio")], 1e-8)
 
 
 def test_rolling_strict(spark):
