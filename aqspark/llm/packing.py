@@ -69,7 +69,8 @@ def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "t
             begin = np.maximum(sequence * length, place[doc])
             size = np.minimum((sequence + 1) * length, place[doc] + n[doc]) - begin
             start = begin - place[doc]
-            raw, width = batch.column("ids").to_pylist(), np.array([len(x) for x in batch.column("ids").to_pylist()]) // n
+            raw = batch.column("ids").to_pylist()
+            width = np.array(list(map(len, raw))) // n
             cut = [np.frombuffer(raw[d], dtype=f"<u{width[d]}", count=k, offset=s * width[d]).astype("<u4").tobytes() for d, s, k in zip(doc.tolist(), start.tolist(), size.tolist())]
             columns = [batch.column("doc_id").take(pa.array(doc)), pa.array(start), pa.array(size), pa.array(cut, pa.binary()), pa.array(n[doc]), pa.array(sequence), pa.array(begin - sequence * length)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])

@@ -1,6 +1,6 @@
 """Token ids of whole texts with a public byte-level BPE tokenizer.
 
-Most words of a corpus occur many times, so a Python worker encodes each distinct piece once. A text may be cut before a blank that stands between two
+Most words of a corpus occur many times, so a Python worker encodes each of them once, and looks those of a batch up together. A text may be cut before a blank that stands between two
 characters that aren't white space: no piece of the tokenizer's pattern spans that place. Texts with any other blank, or with a
 special token, are encoded whole. Either way the ids equal those of ``Tokenizer.encode(text, add_special_tokens=False)``.
 """
@@ -8,22 +8,19 @@ special token, are encoded whole. Either way the ids equal those of ``Tokenizer.
 from __future__ import annotations
 
 import re
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from tokenizers import Tokenizer
 
 from aqspark.llm.common import prefix
 
-#: Distinct pieces that a worker remembers before it starts anew: the bound of its memory, about 120 MB.
-REMEMBERED = 500_000
+#: Words that a worker remembers, some 200 bytes each; the half that wasn't met for longest is forgotten when there are more.
+REMEMBERED = 600_000
 _BLANK = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _ENDS = f"^$|^{_BLANK}|{_BLANK}$"
-#: Chunks of other characters are left to the tokenizer whole.
-_PLAIN = re.compile(r"[\n!-~¡-ͯ]+")
-_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -44,85 +41,94 @@ class Encoder:
         self.after_blank = np.zeros(self.size, dtype=bool)  # tokens that begin with a blank
         for token, i in vocabulary.items():
             self.after_blank[i] = token.startswith("Ġ")
-        self.known: dict[str, bytes] = {}
+        self.kind = np.uint16 if self.size <= 1 << 16 else np.uint32
+        self.place: dict[str, int] = {}  # of words met after a blank; their ids lie in the pool one after another
+        self.pool, self.begin = np.zeros(0, dtype=self.kind), np.zeros(1, dtype=np.int64)
+        self.met, self.turn = np.zeros(0, dtype=np.int32), 0
 
     def _raw(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode pieces not seen before; those that begin with a blank many at a time, cut where a token begins with one."""
-        spaced = [p for p in pieces if p[0] == " " and len(p) > 1]
-        other = [p for p in pieces if not (p[0] == " " and len(p) > 1)]
-        for at in range(0, len(spaced), 500):
-            own = spaced[at : at + 500]
-            ids = np.array(self._raw(["".join(own)])[0], dtype="<u4")
-            cuts = (np.append(np.flatnonzero(self.after_blank[ids]), len(ids)) * 4).tolist()
-            flat = ids.tobytes()
-            if len(cuts) == len(own) + 1:
-                self.known.update((p, flat[a:b]) for p, a, b in zip(own, cuts, cuts[1:]))
-            else:
-                other += own
-        self.known.update((p, np.array(ids, dtype="<u4").tobytes()) for p, ids in zip(other, self._raw(other)))
-
-    def _chunks(self, chunks: list[str]) -> list[bytes]:
-        """Ids of chunks, each without blanks but for one at its begin."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        found = list(map(known.get, chunks))
-        missing = [c for c, ids in zip(chunks, found) if ids is None]
-        if not missing:
-            return found
-        new, cut = {}, {}
-        for c in missing:
-            word = c[1:] if c[0] == " " else c
-            if word.isalpha() or not _PLAIN.fullmatch(word):
-                new[c] = None  # one piece, or left to the tokenizer
-                continue
-            cut[c] = pieces = (c[:-1], c[-1]) if c[-1] in ",.;:?!" and word[:-1].isalpha() else _PIECES.findall(c)
-            for p in pieces:
-                if p not in known:
-                    new[p] = None
-        self._learn([p for p in new if p not in known])
-        for c, pieces in cut.items():
-            known[c] = b"".join([known[p] for p in pieces])
-        return [known[c] for c in chunks]
+    def _bytes(self, ids: list[int]) -> bytes:
+        return np.array(ids, dtype=self.kind).tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        """Append words to those known. Many are encoded at a time, each after a blank, and cut where a token begins with one."""
+        parts, sizes = [], []
+        for at in range(0, len(words), 500):
+            own = words[at : at + 500]
+            ids = np.array(self._raw([" " + " ".join(own)])[0], dtype=self.kind)
+            cuts = np.append(np.flatnonzero(self.after_blank[ids]), len(ids))
+            if len(cuts) != len(own) + 1:
+                each = self._raw([" " + w for w in own])
+                ids, cuts = np.concatenate([np.array(x, dtype=self.kind) for x in each]), prefix(np.array(list(map(len, each))))
+            parts.append(ids)
+            sizes.append(np.diff(cuts))
+        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
+        self.pool = np.concatenate([self.pool, *parts])
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(np.concatenate(sizes), dtype=np.int64)])
+        self.met = np.concatenate([self.met, np.full(len(words), self.turn, dtype=np.int32)])
+
+    def _forget(self) -> None:
+        kept = np.sort(np.argsort(self.met, kind="stable")[-(REMEMBERED // 2) :])
+        size = np.diff(self.begin)[kept]
+        end = prefix(size)
+        take = np.repeat(self.begin[kept] - end[:-1], size) + np.arange(end[-1])
+        words = list(self.place)
+        self.place = {words[at]: i for i, at in enumerate(kept.tolist())}
+        self.pool, self.begin, self.met = self.pool[take], end, self.met[kept]
+
+    def _known(self, words: list[str]) -> np.ndarray:
+        """The place of each word among those known, or -1."""
+        return np.fromiter(map(self.place.get, words, repeat(-1)), dtype=np.int64, count=len(words))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a batch, and where each text's ids begin (one more number at the end). Null counts as empty."""
+        if len(self.place) > REMEMBERED:
+            self._forget()
+        self.turn += 1
         texts = pc.fill_null(texts.cast(pa.string()), "")
         split = pc.split_pattern(texts, " ")
         starts = split.offsets.to_numpy().astype(np.int64)
         starts -= starts[0]
         words = split.flatten().dictionary_encode()
-        codes, spelled = words.indices.to_numpy().astype(np.int64), words.dictionary.to_pylist()
+        code, spelled = words.indices.to_numpy().astype(np.int64), words.dictionary
         # a blank beside white space leaves a chunk that is empty or has white space at an end
-        strange = pc.match_substring_regex(words.dictionary, _ENDS).to_numpy(zero_copy_only=False)
-        odd = np.add.reduceat(strange[codes], starts[:-1], dtype=np.int64) > 0 if len(codes) else np.zeros(len(texts), dtype=bool)
+        strange = pc.match_substring_regex(spelled, _ENDS).to_numpy(zero_copy_only=False)
+        odd = np.add.reduceat(strange[code], starts[:-1], dtype=np.int64) > 0 if len(code) else np.zeros(len(texts), dtype=bool)
         if self.special:
             odd |= pc.match_substring_regex(texts, self.special.pattern).to_numpy(zero_copy_only=False)
-        key = codes * 2
-        key[starts[:-1]] += 1  # the first chunk of a text has no blank before it
-        count = np.diff(starts)
-        key[np.repeat(odd, count)] = -1
-        used = np.zeros(2 * len(spelled) + 1, dtype=bool)
-        used[key] = True
-        used[-1] = False
+        n = len(spelled)
+        first = starts[:-1][~odd]  # the first chunk of a text has no blank before it
+        blank = np.repeat(~odd, np.diff(starts))
+        blank[first] = False
+        used = np.zeros(n, dtype=bool)
+        used[code[blank]] = True
         used = np.flatnonzero(used)
-        place = np.full(2 * len(spelled) + 1, len(used), dtype=np.int32)
-        place[used] = np.arange(len(used))
-        code = place[key]
-        found = self._chunks([spelled[u >> 1] if u & 1 else " " + spelled[u >> 1] for u in used.tolist()])
-        pool = np.frombuffer(b"".join(found), dtype="<u4")
-        sizes = np.array([*map(len, found), 0], dtype=np.int64) // 4
-        begin = prefix(sizes)
-        size = sizes[code]
+        place = np.full(n, -1, dtype=np.int64)
+        words = spelled.take(pa.array(used)).to_pylist()
+        place[used] = self._known(words)
+        missing = np.flatnonzero(place[used] < 0)
+        if len(missing):
+            new = [words[i] for i in missing.tolist()]
+            self._learn(new)
+            place[used[missing]] = self._known(new)
+        self.met[place[used]] = self.turn
+        # first chunks come after the pool
+        leading, which = np.unique(code[first], return_inverse=True)
+        own = [self._bytes(x) for x in self._raw(spelled.take(pa.array(leading)).to_pylist())]
+        sizes = np.array(list(map(len, own)), dtype=np.int64) // self.pool.itemsize
+        pool = np.concatenate([self.pool, np.frombuffer(b"".join(own), dtype=self.kind)])
+        begin, size = np.zeros(len(code), dtype=np.int64), np.zeros(len(code), dtype=np.int64)
+        at = place[code[blank]]
+        begin[blank], size[blank] = self.begin[at], np.diff(self.begin)[at]
+        begin[first], size[first] = (len(self.pool) + prefix(sizes)[:-1])[which], sizes[which]
         end = prefix(size)
         kind = np.int32 if max(end[-1], len(pool)) < 1 << 31 else np.int64
-        take = np.repeat((begin[code] - end[:-1]).astype(kind), size)
+        take = np.repeat((begin - end[:-1]).astype(kind), size)
         take += np.arange(end[-1], dtype=kind)
-        ids, offsets, at = pool[take], end[starts], np.flatnonzero(odd).tolist()
-        return _with(ids, offsets, at, self._raw(texts.take(pa.array(at)).to_pylist())) if at else (ids, offsets)
+        ids, offsets, whole = pool[take], end[starts], np.flatnonzero(odd).tolist()
+        return _with(ids, offsets, whole, self._raw(texts.take(pa.array(whole)).to_pylist())) if whole else (ids, offsets)
 
 
 def _with(ids: np.ndarray, offsets: np.ndarray, at: list[int], own: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
