@@ -22,14 +22,16 @@ KINDS: dict[str, tuple[str, int, int]] = {
     "access": (r"AKIA[A-Z0-9]+", 0, 20),
     "hex": (r"[0-9a-f]{24,}", 0, 24),
     "bearer": (r"(?i:bearer)\x20+([A-Za-z0-9._~+/-]{16,}=*)", 1, 16),
-    "userinfo": (r"[A-Za-z][A-Za-z0-9+.-]*://[^\s/:@]*+:([^\s/:@]{6,}+)@", 1, 6),
+    # from the begin of a run of scheme characters, so that each run is tried once; what precedes its first letter is cut off the span
+    "userinfo": (r"(?<![A-Za-z0-9+.-])[0-9+.-]*+[A-Za-z][A-Za-z0-9+.-]*+://[^\s/:@]*+:([^\s/:@]{6,}+)@", 1, 6),
     "prefixed": (r"(?<![A-Za-z0-9])(?:gh[pousr]|sk|pk|rk|xox[abprs]|glpat)[-_]([A-Za-z0-9_-]{16,})", 1, 16),
 }
 BASE = ("assign", "access", "hex")
 #: A value that so many owners have is an example.
 COPIED_OWNERS = 3
-#: A live value has so many different characters at least.
-LIVE_CHARACTERS = 6
+#: A live value has so many bits of entropy a character at least; six even characters have 2.58.
+LIVE_BITS = {"bearer": 3.0, "prefixed": 3.0}
+LEAST_BITS = 2.5
 
 
 def _found(kind: str, order: int) -> Column:
@@ -42,8 +44,9 @@ def _found(kind: str, order: int) -> Column:
     begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start: int, kind: int, end: int, value: string>>").alias("spans"))
 
     def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.char_length(x["gap"])
-        end = start + F.coalesce(F.char_length(x["whole"]), F.lit(0))
+        begin = acc["at"] + F.char_length(x["gap"])
+        end = begin + F.coalesce(F.char_length(x["whole"]), F.lit(0))
+        start = begin + F.char_length(F.regexp_extract(x["whole"], "^[0-9+.-]*", 0)) if kind == "userinfo" else begin
         one = F.struct(start.alias("start"), F.lit(order).alias("kind"), end.alias("end"), x["value"].alias("value"))
         return F.struct(end.alias("at"), F.when(F.char_length(x["value"]) >= least, F.concat(acc["spans"], F.array(one))).otherwise(acc["spans"]).alias("spans"))
 
@@ -51,12 +54,21 @@ def _found(kind: str, order: int) -> Column:
     return F.when(F.col("text").rlike(pattern), spans)
 
 
+def _entropy(value: Column) -> Column:
+    """Bits a character, by the shares of the value's different characters."""
+    n = F.char_length(value)
+    share = lambda c: (n - F.char_length(F.replace(value, c, F.lit("")))) / n
+    kinds = F.array_distinct(F.split(value, ""))
+    return F.aggregate(F.filter(kinds, lambda c: c != ""), F.lit(0.0), lambda a, c: a - share(c) * F.log2(share(c)))
+
+
 def candidates(docs: DataFrame, doc_id: str, text: str, owner: str, repository: str) -> DataFrame:
     """Written table of ``at`` (the row), ``doc_id``, ``owner``, ``repository`` and ``spans`` with the values' hashes."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(owner).cast("string").alias("owner"), F.col(repository).cast("string").alias("repository"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     none = F.array().cast("array<struct<start: int, kind: int, end: int, value: string>>")
     found = F.array_sort(F.concat(*[F.coalesce(_found(k, i), none) for i, k in enumerate(KINDS)]))
-    hashed = F.transform("found", lambda x: F.struct(x["start"], x["kind"], x["end"], F.sha2(x["value"], 256).alias("hash"), (F.size(F.array_distinct(F.split(x["value"], ""))) >= LIVE_CHARACTERS).alias("random")))
+    bits = F.array(*[F.lit(LIVE_BITS.get(k, LEAST_BITS)) for k in KINDS])
+    hashed = F.transform("found", lambda x: F.struct(x["start"], x["kind"], x["end"], F.sha2(x["value"], 256).alias("hash"), (_entropy(x["value"]) >= F.element_at(bits, x["kind"] + 1)).alias("random")))
     return stage(rows.select(F.monotonically_increasing_id().alias("at"), "doc_id", "owner", "repository", found.alias("found")).withColumn("spans", hashed).drop("found"), "candidates")
 
 
