@@ -25,6 +25,8 @@ from aqspark.llm.tokens import encoder
 MAGIC, SAMPLE = b"IDEF0001", 64
 _HEAD = struct.Struct("<8sBBIQI")  # magic, bytes of an id, low bits, documents, ids, samples
 CHUNK_IDS = 2_000_000
+#: Bytes of text in a range of ids, which one task sorts and encodes.
+RANGE_BYTES = 128 << 20
 
 
 class Boundaries:
@@ -137,7 +139,8 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str | None = None, doc_id:
 
     # repeated ids may be many: the place in the scan spreads them over the ranges too
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), F.monotonically_increasing_id().alias("at"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text).cast("string"))), F.lit(0))).first()[0]
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
     ordered = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "at").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "at")
     found = ordered.select("doc_id", "text").mapInArrow(run, "part long, number long, doc_ids array<long>, n_ids long, data binary")
     found.write.option("compression", "zstd").parquet(path)

@@ -7,7 +7,8 @@ digest, their group is decided again by the whole normalised texts.
 
 Texts are equal if they are the same after deleting blanks and the characters 9 to 13. Of equal texts the longest original (code
 points) stays, then the smallest id, then the first landed row; a null id comes after any other. Null counts as an empty text, and all empty texts are equal. Repeated rows are
-rows like others, of which one stays. Columns of any name are kept in ``row``. An empty table gives an empty result.
+rows like others, of which one stays. Copies of a digest combine in the tasks before the stream shuffles them; the join of rows with their decisions is left to adaptive
+execution, which splits a hot digest. The number of state partitions is fixed by the shuffle setting of the first run. Columns of any name are kept in ``row``. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -67,7 +68,7 @@ class Deduplicator:
             conf.set(k, v)
         try:
             arrived = self.spark.readStream.schema(_LANDED).parquet(f"{self.path}/landed")
-            first = F.max(F.struct("points", F.col("id").isNotNull().alias("known"), (-F.col("id")).alias("low"), "at"))
+            first = F.max(F.struct("points", F.col("id").isNotNull().alias("known"), F.bitwise_not("id").alias("low"), "at"))
             state = arrived.groupBy("digest").agg(first.alias("first"), F.count("*").alias("n"))
             state.writeStream.format("noop").outputMode("update").option("checkpointLocation", f"{self.path}/state").trigger(availableNow=True).start().awaitTermination()
             return stage(self._state(), "state")
@@ -78,7 +79,7 @@ class Deduplicator:
     def _state(self) -> DataFrame:
         kept = self.spark.read.format("statestore").load(f"{self.path}/state")
         first, n = (F.col("value").getField(x) for x in kept.schema["value"].dataType.names)
-        return kept.select(F.col("key.digest").alias("digest"), (-first["low"]).alias("keep_id"), first["at"].alias("keep_at"), n.alias("n"))
+        return kept.select(F.col("key.digest").alias("digest"), F.bitwise_not(first["low"]).alias("keep_id"), first["at"].alias("keep_at"), n.alias("n"))
 
     def decisions(self, state: DataFrame) -> DataFrame:
         """By the state of ``advance``, every landed row: ``row``, ``id``, ``at``, ``digest``, ``keep_id``, ``keep_at``, ``group_size``."""
@@ -92,9 +93,9 @@ class Deduplicator:
         if different.isEmpty():
             return decided
         again = landed.join(different, "digest", "left_semi").withColumn("whole", text)
-        first = F.max(F.struct("points", F.col("id").isNotNull().alias("known"), (-F.col("id")).alias("low"), "at")).alias("first")
+        first = F.max(F.struct("points", F.col("id").isNotNull().alias("known"), F.bitwise_not("id").alias("low"), "at")).alias("first")
         by_text = again.groupBy("digest", "whole").agg(first, F.count("*").alias("n"))
-        own = again.join(by_text, ["digest", "whole"]).select("row", "id", "at", "digest", (-F.col("first.low")).alias("keep_id"), F.col("first.at").alias("keep_at"), F.col("n").alias("group_size"))
+        own = again.join(by_text, ["digest", "whole"]).select("row", "id", "at", "digest", F.bitwise_not("first.low").alias("keep_id"), F.col("first.at").alias("keep_at"), F.col("n").alias("group_size"))
         return decided.join(different, "digest", "left_anti").unionByName(own)
 
 

@@ -4,13 +4,14 @@ Both classes have a model of the next byte of a word given the bytes before it.
 training documents with the word); rare contexts fall back on one shared model, built from continuation counts over all
 documents: how many different longer grams end in a gram. A word's score is the difference of its log-likelihoods under the two models over its length;
 a document's features are the mean over its words and its peaks. A logistic curve, fitted to scores that a document got from models without its
-half of the training rows, turns them into a probability.
+half of the training rows, turns them into a probability. The curve of five numbers is fitted on ``CURVE_ROWS`` labelled ids at most; everything else covers all rows.
 
 The order is the same at every size. Ratios are whole multiples of 2**-24, so a word's sum doesn't depend on the order of its grams. A model of few grams is
 sent to the tasks; a larger one stays a table, is joined with the grams of the distinct words, and the words' ratios are joined with the documents.
 
 A null or empty text, or one without words, has features of zero. Labels that are null are ignored; if a label is repeated the largest counts. Rows with a null id are never trained on. Repeated rows
-are scored alike. Without training rows every score is 0.5. Words may have any length. Only the id and the text are read.
+are scored alike. Without training rows every score is 0.5. Words may have any length. The join of words with their ratios is left to adaptive execution, which splits a
+hot word. Only the id and the text are read.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ ORDER, DISCOUNT, MASS = 6, 0.75, 1.0
 ENTRIES = 1 << 22
 #: Ratios are stored in units of one over this; they stay far below 128.
 UNIT = float(1 << 24)
-#: Rows that the logistic curve of five numbers is fitted on.
+#: The documented bound of the labelled ids, one row each, that the logistic curve of five numbers is fitted on: those with the smallest hashes.
 CURVE_ROWS = 100_000
 FEATURES = ("mean", "peak", "peaks", "excess", "upper")
 
@@ -291,7 +292,8 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     else:
         found = joined_features(rows, seen, context, ORDER, keep)
     found = stage(found, "features")
-    sample = found.where("label IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(CURVE_ROWS).select("label", *[f"x_{f}" for f in FEATURES]).toPandas()
+    one = F.min(F.struct("label", *[f"x_{f}" for f in FEATURES])).alias("one")  # a repeated id counts once
+    sample = found.where("label IS NOT NULL").groupBy("doc_id").agg(one).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CURVE_ROWS).select("one.*").toPandas()
     weights, offset = fit_curve(sample.iloc[:, 1:].to_numpy(dtype=float), sample["label"].to_numpy(dtype=float))
     total = F.lit(offset)
     for f, w in zip(FEATURES, weights.tolist()):
