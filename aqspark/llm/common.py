@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -71,3 +71,30 @@ def batches(rows: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -
             yield batch.slice(a, b - a)
         del batch
         release()
+
+
+def slices(column: pa.Array, limit: int = 4 << 20) -> Iterator[pa.Array]:
+    """Cut a column of texts like ``batches``."""
+    size = np.array([0 if x is None else x for x in pc.binary_length(column).to_pylist()], dtype=np.int64)
+    group = (np.cumsum(size) - size) // limit
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(column)]
+    for a, b in zip(cuts, cuts[1:]):
+        yield column.slice(a, b - a)
+
+
+def judged(docs: DataFrame, text: str, kind: str, judge: Callable[[pa.Array], pa.Array], *more: Column | str) -> Column:
+    """What ``judge`` makes of each text, and of ``more`` columns, as a column of ``docs``. Only these cross to Python, and only the verdict comes back;
+    the rows stay where they are, so that texts are carried once."""
+
+    def run(parts: Iterator) -> Iterator[pa.Array]:
+        for part in parts:
+            columns = part if isinstance(part, tuple) else (part,)
+            at = 0
+            for cut in slices(columns[0]):
+                yield judge(cut, *(c.slice(at, len(cut)) for c in columns[1:]))
+                at += len(cut)
+            del part, columns
+            release()
+
+    run.__annotations__ = {"parts": Iterator[pa.Array] if not more else Iterator[tuple[(pa.Array,) * (1 + len(more))]], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, kind)(F.col(text).cast("string"), *more)

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from aqspark.llm.common import batches, byte_rows
+from aqspark.llm.common import batches, byte_rows, judged
 
 DIMENSIONS, FIGURES = 1 << 15, 8
 #: The documented bound of the rated rows that are fitted on.
@@ -36,7 +36,7 @@ _SPACES = bytes(32 if b in (9, 10, 11, 12, 13) else b for b in range(256))
 def shape(word: bytes) -> bytes:
     for pattern, sign in _SHAPES:
         word = pattern.sub(sign, word)
-    return _RUN.sub(rb"\1", word)[:24]
+    return _RUN.sub(rb"\1", word)
 
 
 def _place(kind: bytes, value: bytes) -> int:
@@ -187,6 +187,15 @@ def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str
     return np.array(found[0]["theta"]) if found else None
 
 
+def _chances(theta: np.ndarray, texts: pa.Array, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The probabilities of more than each grade, and of grade ``least`` or better."""
+    w, edge = theta[:DIMENSIONS], cuts(theta[DIMENSIONS:])
+    row, place, value = text_features(texts)
+    latent = np.bincount(row, weights=value * w[place], minlength=len(texts))
+    above = _sigmoid(latent[:, None] - edge[None, :])
+    return above, above[:, least - 1] if least <= len(edge) else np.zeros(len(latent))
+
+
 def predict(docs: DataFrame, theta: np.ndarray | None, text: str = "text", keep: Column | str = "doc_id", name: str = "doc_id", least: int = 1) -> DataFrame:
     """``name``, ``expected_grade`` and ``tail`` for each row. ``tail``: the probability of grade ``least`` or better."""
     rows = docs.select((F.col(keep) if isinstance(keep, str) else keep).alias(name), F.col(text).cast("string").alias("text"))
@@ -195,12 +204,8 @@ def predict(docs: DataFrame, theta: np.ndarray | None, text: str = "text", keep:
     shared = docs.sparkSession.sparkContext.broadcast(theta)
 
     def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, edge = shared.value[:DIMENSIONS], cuts(shared.value[DIMENSIONS:])
         for batch in batches(batches_, "text"):
-            row, place, value = text_features(batch.column("text"))
-            latent = np.bincount(row, weights=value * w[place], minlength=batch.num_rows)
-            above = _sigmoid(latent[:, None] - edge[None, :])
-            tail = above[:, least - 1] if least <= len(edge) else np.zeros(len(latent))
+            above, tail = _chances(shared.value, batch.column("text"), least)
             yield pa.RecordBatch.from_arrays([batch.column(name), pa.array(above.sum(axis=1)), pa.array(tail)], names=[name, "expected_grade", "tail"])
 
     kind = rows.schema[0].dataType.simpleString()
@@ -210,7 +215,10 @@ def predict(docs: DataFrame, theta: np.ndarray | None, text: str = "text", keep:
 def select(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text", grade: str = "grade", least: int = 1, share: float = 0.5) -> DataFrame:
     """The rows of ``docs``, with all columns, whose probability of grade ``least`` or better is at least ``share``."""
     theta = train(docs, ratings, doc_id, text, grade)
-    return predict(docs, theta, text, F.struct("*"), "row", least).where(F.col("tail") >= share).select("row.*")
+    if theta is None:
+        return docs.where(F.lit(share <= 1))
+    shared = docs.sparkSession.sparkContext.broadcast(theta)
+    return docs.where(judged(docs, text, "boolean", lambda x: pa.array(_chances(shared.value, x, least)[1] >= share)))
 
 
 def grades(labels: DataFrame) -> DataFrame:
