@@ -21,10 +21,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from aqspark.llm.common import batches, byte_rows, stage
+from aqspark.llm.common import batches, byte_rows, judged, stage
 
 WINDOW, SHARE = 13, 20
-#: Words in the windows of one automaton (about 100 bytes each). Longer lists of tests are scanned in blocks of this size.
+#: Words and item ids in the windows of one automaton (about 100 bytes each). Longer lists of tests are scanned in blocks of this size.
 BLOCK_WORDS = 1_500_000
 #: Bytes that belong to words map to their lower case, others to a blank.
 NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -79,19 +79,25 @@ def find_passages(docs: DataFrame, tests: DataFrame, doc_id: str = "doc_id", tex
     return _passages(whole, tests, size, ("doc_id",))
 
 
-def _passages(whole: DataFrame, tests: DataFrame, size: int, keep: tuple[str, ...]) -> DataFrame:
-    """``whole`` (``keep`` and ``text``) with the words hit, counted and located."""
-    spark = whole.sparkSession
-    listed = stage(windows(tests, size).withColumn("n", F.size(F.split("window", " "))), "windows")
+def _blocks(tests: DataFrame, size: int) -> Iterator[tuple]:
+    """Broadcast windows, block by block: the key of the automaton, its windows, and the ids of the items that have each."""
+    spark = tests.sparkSession
+    listed = stage(windows(tests, size).withColumn("n", F.size(F.split("window", " ")) + F.size("items")), "windows")
     blocks = listed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // BLOCK_WORDS + 1
-    found = whole.select(*keep, "text", F.lit(0).cast("long").alias("n_words"), F.lit(None).cast("array<long>").alias("hits"), F.lit(None).cast("array<string>").alias("items"))
     for k in range(blocks):
         # windows are spread over the blocks by their hash, so each block has about BLOCK_WORDS words at most
         own = listed.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == k) if blocks > 1 else listed
         rows = [(r["window"], sorted(str(x) for x in r["items"])) for r in own.select("window", "items").toLocalIterator()]
-        found = _scan(found, spark.sparkContext.broadcast((uuid.uuid4().hex, rows)), keep)
-        if 0 < k < blocks - 1:
-            found = stage(found, "passages")  # the automata of two blocks are in memory at a time
+        yield spark.sparkContext.broadcast((uuid.uuid4().hex, rows)), 0 < k < blocks - 1  # the automata of two blocks are in memory at a time
+
+
+def _passages(whole: DataFrame, tests: DataFrame, size: int, keep: tuple[str, ...]) -> DataFrame:
+    """``whole`` (``keep`` and ``text``) with the words hit, counted and located."""
+    found = whole.select(*keep, "text", F.lit(0).cast("long").alias("n_words"), F.lit(None).cast("array<long>").alias("hits"), F.lit(None).cast("array<string>").alias("items"))
+    for shared, cut in _blocks(tests, size):
+        found = _scan(found, shared, keep)
+        if cut:
+            found = stage(found, "passages")
     return _located(found, keep)
 
 
@@ -99,6 +105,22 @@ def _kinds(df: DataFrame, keep: tuple[str, ...]) -> str:
     return ", ".join(f"`{c}` {df.select(c).schema[0].dataType.simpleString()}" for c in keep)
 
 
+def _runs(w: list[bytes], before: list[int] | None, number: dict[bytes, int], automaton) -> tuple[np.ndarray | None, set[int]]:
+    """First word and end of each run of words that are hit, now or ``before`` (null: none), and the windows found."""
+    marks, found = None, set()
+    if before:
+        marks = np.zeros(len(w) + 1, dtype=np.int64)
+        np.add.at(marks, before[::2], 1)
+        np.add.at(marks, before[1::2], -1)
+    for end, (at, n) in automaton.iter(tuple([number.get(y, 0) for y in w])) if automaton and w else ():
+        if marks is None:
+            marks = np.zeros(len(w) + 1, dtype=np.int64)
+        marks[end - n + 1] += 1
+        marks[end + 1] -= 1
+        found.add(at)
+    return None if marks is None else np.flatnonzero(np.diff(np.concatenate(([False], np.cumsum(marks) > 0)))), found
+
+
 def _scan(found: DataFrame, shared, keep: tuple[str, ...]) -> DataFrame:
     """Add the occurrences of the windows in ``shared``; ``hits``: first word and end of each run of words that are hit."""
 
@@ -109,19 +131,8 @@ def _scan(found: DataFrame, shared, keep: tuple[str, ...]) -> DataFrame:
             out = []
             for x, before, known in zip(byte_rows(batch.column("text")), batch.column("hits").to_pylist(), batch.column("items").to_pylist()):
                 w = words(x)
-                marks, items = None, set(known or ())
-                if before:
-                    marks = np.zeros(len(w) + 1, dtype=np.int64)
-                    np.add.at(marks, before[::2], 1)
-                    np.add.at(marks, before[1::2], -1)
-                for end, (at, n) in automaton.iter(tuple([number.get(y, 0) for y in w])) if listed and w else ():
-                    if marks is None:
-                        marks = np.zeros(len(w) + 1, dtype=np.int64)
-                    marks[end - n + 1] += 1
-                    marks[end + 1] -= 1
-                    items.update(listed[at][1])
-                runs = None if marks is None else np.flatnonzero(np.diff(np.concatenate(([False], np.cumsum(marks) > 0))))
-                out.append((len(w), runs, sorted(items)))
+                runs, windows_ = _runs(w, before, number, automaton if listed else None)
+                out.append((len(w), runs, sorted({*(known or ()), *(i for at in windows_ for i in listed[at][1])})))
             columns = list(zip(*out))
             added = [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.list_(pa.int64())), pa.array(columns[2], pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), batch.column("text"), *added], names=[*keep, "text", "n_words", "hits", "items"])
@@ -150,6 +161,28 @@ def contaminated(share: int = SHARE) -> Column:
 
 
 def clean(docs: DataFrame, tests: DataFrame, text: str = "text", size: int = WINDOW, share: int = SHARE) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with all their columns; texts are scanned in the tasks that read them."""
-    kept = docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("text"))
-    return _passages(kept, tests, size, ("row",)).where(~contaminated(share)).select("row.*")
+    """The rows of ``docs`` that are not contaminated, with all their columns. Texts are scanned in the tasks that read them; nothing but texts goes to
+    Python and nothing but the runs of words that are hit comes back."""
+    name = f"found_{uuid.uuid4().hex}"
+    kind = pa.struct([("n", pa.int64()), ("hits", pa.list_(pa.int64()))])
+
+    def scan(shared):
+        def judge(texts: pa.Array, known: pa.Array) -> pa.Array:
+            key, listed = shared.value
+            number, automaton = _automaton(key, listed)
+            rows = []
+            for x, before in zip(byte_rows(texts), known.to_pylist()):
+                w = words(x)
+                rows.append({"n": len(w), "hits": _runs(w, before, number, automaton if listed else None)[0]})
+            return pa.array(rows, kind)
+
+        return judge
+
+    found = docs.withColumn(name, F.lit(None).cast("struct<n: long, hits: array<long>>"))
+    for shared, cut in _blocks(tests, size):
+        found = found.withColumn(name, judged(found, text, "struct<n: long, hits: array<long>>", scan(shared), F.col(f"{name}.hits")))
+        if cut:
+            found = stage(found, "passages")
+    ends = F.transform(F.col(f"{name}.hits"), lambda x, i: F.when(i % 2 == 1, x).otherwise(-x))
+    n_hit = F.coalesce(F.aggregate(ends, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0))
+    return found.where(~((n_hit > 0) & (share * n_hit >= F.col(f"{name}.n")))).drop(name)
