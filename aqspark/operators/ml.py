@@ -1,26 +1,41 @@
 """Fitting, tuning and comparing Spark ML regressors on horizon frames.
 
 Loops here run over models, parameter points and folds, of which there are a few dozen; every fit and
-every score inside them is a distributed job over a staged or narrow frame.
+every score inside them is a distributed job over one written table of scaled vectors, and a few run at a time. Linear models need
+no such loop: the sums of products of each fold, a matrix as wide as the features, come from one pass, and
+all folds and penalties are solved from them.
 """
 
 from __future__ import annotations
 
 import random
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import product
+from multiprocessing.pool import ThreadPool
 from typing import Callable
 
+import numpy as np
+import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from aqspark import spec as S
 from aqspark.operators import horizon as H
 from aqspark.operators.evaluate import cv_summary, regression_metrics
+from aqspark.sources.staging import stage, staging_root
 
 LABEL = H.TARGET
+VECTOR = "features"
+#: Fits that run at the same time.
+PARALLEL_FITS = 3
+#: Trees remember the node of each row instead of walking all trees so far, and cut that lineage in the shared folder;
+#: the statistics of a whole level fit into this many megabytes of a task where they can.
+_TREES = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": 1024}
 
 
 @dataclass(frozen=True)
@@ -57,6 +72,7 @@ def _forest(params: dict, train: DataFrame, label: str) -> Estimator:
         minInstancesPerNode=max(1, params["min_samples_split"] // 2),
         featureSubsetStrategy=params["max_features"],
         seed=S.SEED,
+        **_TREES,
     )
 
 
@@ -70,6 +86,7 @@ def _boosting(params: dict, train: DataFrame, label: str) -> Estimator:
         subsamplingRate=params.get("subsample", 1.0),
         featureSubsetStrategy=str(params.get("colsample", "all")),
         seed=S.SEED,
+        **_TREES,
     )
 
 
@@ -136,8 +153,31 @@ def preparation(features: list[str], scaler: SQLTransformer | None = None) -> li
     return [*stages, VectorAssembler(inputCols=inputs, outputCol="features")]
 
 
+def vectors(df: DataFrame, features: list[str], label: str = LABEL, scaler=None, keep: list[str] = ()) -> DataFrame:
+    """The scaled features as one vector, the label and ``keep``, written once for all fits. A frame that has vectors is returned as it is."""
+    if VECTOR in df.columns:
+        return df
+    return stage(PipelineModel(preparation(features, scaler)).transform(df).select(VECTOR, label, *keep), "vectors")
+
+
 def fit(c: Candidate, train: DataFrame, features: list[str], label: str = LABEL, scaler=None) -> PipelineModel:
-    return Pipeline(stages=[*preparation(features, scaler), c.build(c.params, train, label)]).fit(train)
+    """The fitted pipeline, which reads plain columns; ``train`` may hold them or their vectors."""
+    _shared_checkpoints(train)
+    prepared = preparation(features, scaler)
+    rows = train if VECTOR in train.columns else PipelineModel(prepared).transform(train).select(VECTOR, label)
+    return PipelineModel([*prepared, c.build(c.params, rows, label).fit(rows)])
+
+
+def _shared_checkpoints(df: DataFrame) -> None:
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(staging_root(df.sparkSession))
+
+
+def _at_once(spark, tasks: list[Callable]) -> list:
+    """Results of independent jobs, a few at a time, in order."""
+    with ThreadPool(PARALLEL_FITS) as pool:
+        return pool.map(lambda run: inheritable_thread_target(spark)(run)(), tasks)
 
 
 def fit_linear(train, features, label=LABEL, scaler=None):
@@ -158,7 +198,57 @@ def fit_gbt(train, features, label=LABEL, scaler=None, sampled: bool = False, **
 
 
 def score(model: PipelineModel, df: DataFrame, label: str = LABEL) -> DataFrame:
-    return regression_metrics(model.transform(df), label, "prediction")
+    predicted = model.stages[-1].transform(df) if VECTOR in df.columns else model.transform(df)
+    return regression_metrics(predicted, label, "prediction")
+
+
+# ---- linear models from sums of products -----------------------------------------------------
+
+
+def moments(df: DataFrame, label: str, by: list[str]) -> dict[tuple, np.ndarray]:
+    """For each key the matrix of sums of products of (1, vector, label): additive, so tasks add up their rows and
+    keys can be added and subtracted. There are as many matrices as folds."""
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple, np.ndarray] = {}
+        for batch in rows:
+            if not batch.num_rows:
+                continue
+            v = batch.column("v")
+            x = np.column_stack([np.ones(batch.num_rows), v.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1), batch.column("y").to_numpy(zero_copy_only=False)])
+            keys = list(zip(*(batch.column(k).to_pylist() for k in by))) if by else [()] * batch.num_rows
+            for key in dict.fromkeys(keys):
+                own = x[[k == key for k in keys]]
+                sums[key] = sums.get(key, 0) + own.T @ own
+        for key, m in sums.items():
+            columns = [pa.array([k] * m.size, t) for k, t in zip(key, kinds)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.arange(m.size, dtype=np.int32)), pa.array(m.ravel())], names=[*by, "cell", "value"])
+
+    rows = df.select(*by, vector_to_array(VECTOR).alias("v"), F.col(label).cast("double").alias("y"))
+    kinds = [pa.int32() if rows.schema[k].dataType.simpleString() == "int" else pa.string() for k in by]
+    schema = ", ".join([*(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in by), "cell int", "value double"])
+    out: dict[tuple, dict[int, float]] = {}
+    for r_ in rows.mapInArrow(run, schema).groupBy(*by, "cell").agg(F.sum("value").alias("value")).collect():
+        out.setdefault(tuple(r_[k] for k in by), {})[r_["cell"]] = r_["value"]
+    square = lambda cells: np.array([cells[i] for i in range(len(cells))]).reshape(int(round(len(cells) ** 0.5)), -1)
+    return {key: square(cells) for key, cells in out.items()}
+
+
+def solve(m: np.ndarray, alpha: float) -> np.ndarray:
+    """Intercept and coefficients with a penalty ``alpha`` on plain squared coefficients; the shortest ones if columns depend on each other."""
+    n, sums, product = m[0, 0], m[0, 1:], m[1:, 1:]
+    centred = product - np.outer(sums, sums) / n
+    w = np.linalg.lstsq(centred[:-1, :-1] + alpha * np.eye(len(centred) - 1), centred[:-1, -1], rcond=None)[0]
+    return np.concatenate([[(sums[-1] - sums[:-1] @ w) / n], w])
+
+
+def rmse_of(m: np.ndarray, beta: np.ndarray) -> float:
+    residual = np.concatenate([-beta, [1.0]])
+    return float(np.sqrt(max(residual @ m @ residual, 0.0) / m[0, 0]))
+
+
+def _is_linear(c: Candidate) -> bool:
+    return c.build in (_linear, _ridge)
 
 
 def sampled_points(grid: dict, n_iter: int = 20, seed: int = S.SEED) -> list[dict]:
@@ -172,31 +262,61 @@ def random_search(
     n_iter: int = 20, folds: int = 3,
 ) -> tuple[Candidate, PipelineModel, DataFrame]:
     """Mean fold RMSE per grid point, refit of the best on all rows. ``train`` carries a fold column
-    (:func:`horizon.contiguous_folds`). Returns the tuned candidate, its model and the score table."""
+    (:func:`horizon.contiguous_folds`). Returns the tuned candidate, its model and the score table.
+
+    Linear models take one pass for all points and folds. Boosting is fitted once for points that differ in the number of stages
+    alone: the shorter runs are the first stages of the longest one, which has the same seeds.
+    """
     spark = train.sparkSession
-    rows = []
-    for number, point in enumerate(sampled_points(c.grid, n_iter)):
-        tuned = Candidate(c.name, c.build, {**c.params, **point}, c.grid)
-        errors = []
-        for k in range(folds):
-            model = fit(tuned, train.where(F.col(fold) != k), features, label, scaler)
-            errors.append(score(model, train.where(F.col(fold) == k), label).first()["rmse"])
-        rows.append((number, str(point), sum(errors) / len(errors), tuned))
-    best = min(rows, key=lambda r: (r[2], r[0]))[3]
-    table = spark.createDataFrame([r[:3] for r in rows], "point int, params string, mean_rmse double")
-    return best, fit(best, train, features, label, scaler), table
+    rows = vectors(train, features, label, scaler, [fold])
+    points = sampled_points(c.grid, n_iter)
+    tuned = [Candidate(c.name, c.build, {**c.params, **point}, c.grid) for point in points]
+    if _is_linear(c):
+        each = moments(rows.withColumn(fold, F.col(fold).cast("int")), label, [fold])
+        total = sum(each.values())
+        errors = [[rmse_of(each[k,], solve(total - each[k,], t.params.get("alpha", 0.0))) for k in range(folds)] for t in tuned]
+    else:
+        groups: dict[str, list[int]] = {}
+        for i, point in enumerate(points):
+            alike = {k: v for k, v in point.items() if k != "n_estimators" or c.build is not _boosting}
+            groups.setdefault(str(alike), []).append(i)
+
+        def fold_errors(members: list[int], k: int) -> dict[int, float]:
+            longest = max(members, key=lambda i: tuned[i].params["n_estimators"])
+            model = fit(tuned[longest], rows.where(F.col(fold) != k), features, label, scaler)
+            held = rows.where(F.col(fold) == k)
+            if len(members) == 1:
+                return {longest: score(model, held, label).first()["rmse"]}
+            loss = model.stages[-1].evaluateEachIteration(held, "squared")
+            return {i: float(np.sqrt(loss[tuned[i].params["n_estimators"] - 1])) for i in members}
+
+        jobs = [(members, k) for members in groups.values() for k in range(folds)]
+        found = _at_once(spark, [lambda m=m, k=k: fold_errors(m, k) for m, k in jobs])
+        errors = [[f[i] for (m, _), f in zip(jobs, found) if i in m] for i in range(len(points))]
+    scored = [(i, str(point), float(sum(e) / len(e))) for i, (point, e) in enumerate(zip(points, errors))]
+    best = tuned[min(scored, key=lambda x: (x[2], x[0]))[0]]
+    table = spark.createDataFrame(scored, "point int, params string, mean_rmse double")
+    return best, fit(best, rows, features, label, scaler), table
 
 
 def cross_validate(c: Candidate, folded: DataFrame, features: list[str], label: str = LABEL, scaler=None) -> DataFrame:
-    """(fold, rmse) over rows marked (fold, role) by :func:`horizon.time_series_folds`."""
+    """(fold, rmse) over rows marked (fold, role) by :func:`horizon.time_series_folds`. Linear models take one pass for all folds."""
     spark = folded.sparkSession
-    numbers = sorted(r[0] for r in folded.select("fold").distinct().collect())  # at most the number of folds
-    rows = []
-    for k in numbers:
-        part = folded.where(F.col("fold") == k)
-        model = fit(c, part.where(F.col("role") == "train"), features, label, scaler)
-        rows.append((k, score(model, part.where(F.col("role") == "test"), label).first()["rmse"]))
-    return spark.createDataFrame(rows, "fold int, rmse double")
+    rows = vectors(folded, features, label, scaler, ["fold", "role"])
+    if _is_linear(c):
+        each = moments(rows.withColumn("fold", F.col("fold").cast("int")), label, ["fold", "role"])
+        numbers = sorted({k for k, role in each if role == "train"})
+        found = [rmse_of(each[k, "test"], solve(each[k, "train"], c.params.get("alpha", 0.0))) for k in numbers]
+    else:
+        numbers = sorted(r[0] for r in rows.select("fold").distinct().collect())  # at most the number of folds
+
+        def one(k: int) -> float:
+            part = rows.where(F.col("fold") == k)
+            model = fit(c, part.where(F.col("role") == "train"), features, label, scaler)
+            return score(model, part.where(F.col("role") == "test"), label).first()["rmse"]
+
+        found = _at_once(spark, [lambda k=k: one(k) for k in numbers])
+    return spark.createDataFrame(list(zip(numbers, found)), "fold int, rmse double")
 
 
 def train_compare(
@@ -207,6 +327,9 @@ def train_compare(
     rounded to 4 decimals, and the fitted pipelines by name."""
     spark = train.sparkSession
     rows, fitted = [], {}
+    fold = ["fold"] if tune and "fold" in train.columns else []
+    train, test = vectors(train, features, label, scaler, fold), vectors(test, features, label, scaler)
+    folded = vectors(folded, features, label, scaler, ["fold", "role"])
     for c in models:
         if tune and c.grid:
             c, model, _ = random_search(c, train, features, label, scaler, n_iter=n_iter, folds=folds)

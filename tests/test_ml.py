@@ -71,6 +71,55 @@ def test_search_picks_the_lowest_error(spark, data):
     assert len(rows) == 5 and best.params["alpha"] == 0.01 == eval(min(rows, key=lambda r: r["mean_rmse"])["params"])["alpha"]
 
 
+@pytest.mark.parametrize("name, params", [("Linear Regression", {}), ("Ridge Regression", {"alpha": 25.0})])
+def test_one_pass_equals_single_fits(spark, data, name, params):
+    df, _, _ = data
+    c = M.candidate(name, **params)
+    marks = [(F.col("id") < 100 * (k + 1), F.col("id") < 100 * (k + 2), k) for k in range(3)]
+    folded = [df.where(upto).select("*", F.lit(k).alias("fold"), F.when(first, "train").otherwise("test").alias("role")) for first, upto, k in marks]
+    whole = folded[0].union(folded[1]).union(folded[2])
+    got = {r["fold"]: r["rmse"] for r in M.cross_validate(c, whole, FEATURES, "y").collect()}
+    for k, part in enumerate(folded):
+        model = M.fit(c, part.where("role = 'train'"), FEATURES, "y")
+        assert got[k] == pytest.approx(M.score(model, part.where("role = 'test'"), "y").first()["rmse"], abs=1e-8)
+    thirds = df.withColumn("fold", (F.col("id") / 134).cast("int"))
+    if c.grid:
+        for r in M.random_search(c, thirds, FEATURES, "y")[2].collect():
+            own = M.candidate(name, **eval(r["params"]))
+            single = [M.score(M.fit(own, thirds.where(F.col("fold") != k), FEATURES, "y"), thirds.where(F.col("fold") == k), "y").first()["rmse"] for k in range(3)]
+            assert r["mean_rmse"] == pytest.approx(np.mean(single), abs=1e-8)
+
+
+def test_dependent_columns_are_solved(spark, data):
+    df, _, _ = data
+    twice = df.withColumn("d", F.col("a") * 2).withColumn("fold", (F.col("id") / 134).cast("int"))
+    m = M.moments(M.vectors(twice, [*FEATURES, "d"], "y"), "y", [])[()]
+    own = M.moments(M.vectors(twice, FEATURES, "y"), "y", [])[()]
+    assert M.rmse_of(m, M.solve(m, 0.0)) == pytest.approx(M.rmse_of(own, M.solve(own, 0.0)), abs=1e-8)
+
+
+def test_shorter_boosting_runs_are_read_from_the_longest(spark, data):
+    df, _, _ = data
+    # samples of rows depend on how the table is cut into tasks, so all fits read the same vectors
+    thirds = M.vectors(df.withColumn("fold", (F.col("id") / 134).cast("int")), FEATURES, "y", None, ["fold"])
+    c = M.candidate("Gradient Boosting", max_depth=2, learning_rate=0.3)
+    c = M.Candidate(c.name, c.build, c.params, {"n_estimators": [2, 4, 6], "subsample": [0.7, 1.0]})
+    best, model, table = M.random_search(c, thirds, FEATURES, "y")
+    rows = {r["params"]: r["mean_rmse"] for r in table.collect()}
+    assert len(rows) == 6 and model.stages[-1].getNumTrees == best.params["n_estimators"]
+    for params in ({"n_estimators": 2, "subsample": 0.7}, {"n_estimators": 4, "subsample": 1.0}):
+        own = M.Candidate(c.name, c.build, {**c.params, **params})
+        single = [M.score(M.fit(own, thirds.where(F.col("fold") != k), FEATURES, "y"), thirds.where(F.col("fold") == k), "y").first()["rmse"] for k in range(3)]
+        assert rows[str(params)] == pytest.approx(np.mean(single), abs=1e-9)
+
+
+def test_default_forest_is_fitted_and_keeps_node_ids(spark, data):
+    df, _, y = data
+    model = M.fit_random_forest(df, FEATURES, "y")
+    assert model.stages[-1].getNumTrees == 120 and M.score(model, df, "y").first()["rmse"] < 0.3 * y.std()
+    assert M.candidate("Random Forest").build(M.candidate("Random Forest").params, df, "y").getCacheNodeIds()
+
+
 def test_train_and_forecast_round_trip(spark, tmp_path):
     pdf = series(1, (("a", 400), ("b", 150)))
     pdf["seq"] = range(len(pdf))
