@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from aqspark.llm.common import stage
 from aqspark.llm import contamination, elias_fano, exact, graph, packing, quality, queries, secrets, sharding, simhash, tokens, toxicity, urls
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, shard string, row string, at string, fp string"
@@ -83,6 +84,17 @@ def test_components_of_a_chain(spark):
     assert got == {i: 0 if i <= 30 else 31 for i in range(61)}
 
 
+@pytest.mark.parametrize("order", ["far", "shuffled", "sorted", "star"])
+def test_components_take_few_rounds(spark, order):
+    n = 1024
+    ids = {"far": [*range(2, n), 1], "shuffled": np.random.default_rng(4).permutation(n).tolist(), "sorted": list(range(n)), "star": None}[order]
+    links = [(n, i) for i in range(n)] if ids is None else list(zip(ids, ids[1:]))
+    pairs = spark.createDataFrame([(int(a), int(b)) for a, b in links] + [(5000, 5001)], "a long, b long")
+    assert len(graph.contract(pairs)) <= 8
+    nodes = {x for pair in links for x in pair}
+    assert dict(graph.components(pairs).collect()) == {x: min(nodes) for x in nodes} | {5000: 5000, 5001: 5000}
+
+
 @pytest.mark.parametrize("block", [1_500_000, 40])
 def test_decontamination(spark, docs, none, monkeypatch, block):
     monkeypatch.setattr(contamination, "BLOCK_WORDS", block)
@@ -119,6 +131,9 @@ def test_shards(spark, docs, none):
         by[r["shard"]].append(r["slot"])
     assert all(sorted(v) == list(range(len(v))) for v in by.values()) and {len(v) for v in by.values()} <= {len(rows) // 4, len(rows) // 4 + 1}
     assert sharding.write_shards(none)[1].count() == 0
+    order = lambda seed: [(r["doc_id"], r["shard"], r["slot"]) for r in sharding.write_shards(staged, shards=4, seed=seed)[1].select("row.doc_id", "shard", "slot").orderBy("shard", "slot").collect()]
+    staged = stage(docs, "docs")
+    assert order(1) == order(1) != order(2)
 
 
 def test_toxicity(spark, docs, none):
@@ -247,6 +262,21 @@ def test_userinfo_of_any_length_and_values_of_six_characters(spark):
     assert spans == {i: [(0, t.index("@") + 1)] if i < 4 else [] for i, t in enumerate(texts)}
 
 
+@pytest.mark.parametrize("kind, unit", [("assign", "password"), ("access", "AKIA"), ("hex", "0123456789abcdef0123456"), ("bearer", "bearer "), ("userinfo", "http+"), ("userinfo", "u:pass"), ("userinfo", "a://b:"), ("prefixed", "ghp"), ("assign", "token ")])
+def test_kinds_are_linear_in_long_texts(spark, kind, unit):
+    n = 1_000_000 // len(unit)
+    tail = ' password="hunter22" '
+    got = secrets.scan(spark.createDataFrame([(1, unit * n + tail, "s")], "doc_id long, text string, source string")).first()
+    assert (len(unit) * n + 1, "assign") in {(s["start"], s["kind"]) for s in got["spans"]}
+
+
+def test_userinfo_begins_with_the_first_letter_of_its_scheme(spark):
+    texts = ["1http://u:secret12@h", "+-2.ftp://:secret12@h x", "12://u:secret12@h", "xhttp://u:secret12@a://v:secret34@h", "日http://u:secret12@h"]
+    got = secrets.scan(spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")).collect()
+    old = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://[^\s/:@]*:([^\s/:@]{6,})@")
+    assert {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "userinfo"] for r in got} == {i: [m.span() for m in old.finditer(t)] for i, t in enumerate(texts)}
+
+
 @pytest.mark.parametrize("weak", [False, True])
 def test_exact(docs, none, weak):
     key = (lambda c: F.unhex(F.lit("00"))) if weak else exact.digest
@@ -257,6 +287,8 @@ def test_exact(docs, none, weak):
     got = exact.decide(docs, key=key).collect()
     assert sorted((r["id"] or 0, r["keep_id"] or 0, r["group_size"]) for r in got) == expected and sum(r["kept"] for r in got) == len(groups)
     assert exact.decide(none, key=key).count() == 0
+    ends = docs.limit(2).withColumn("doc_id", F.lit(-(2**63)).cast("long")).unionByName(docs.limit(2).withColumn("doc_id", F.lit(2**63 - 1).cast("long")))
+    assert {r["keep_id"] for r in exact.decide(ends.withColumn("text", F.lit("same")), key=key).collect()} == {-(2**63)}
     if not weak:
         kept = exact.keep_first(docs)
         assert kept.columns == docs.columns and kept.count() == len(groups)
