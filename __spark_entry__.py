@@ -285,6 +285,35 @@ def _(spark, d):
     return show(St.upsert_features(path, changed.unionByName(later), SPEC), KEY, ["aqi"])
 
 
+def _stored(spark, d) -> DataFrame:
+    """Observations of two months more, so that there are months to leave out, as a partitioned table."""
+    o = obs(spark, d).select(*KEY, "pm10")
+    earlier = o.withColumn("timestamp", F.col("timestamp") - F.expr("INTERVAL 62 DAY"))
+    path = new_path(spark, "table")
+    St.upsert_features(path, o.unionByName(earlier), SPEC)
+    return St.open_features(spark, path)
+
+
+STORED = OBS + ", stored AS (SELECT city, timestamp, pm10 FROM obs UNION ALL SELECT city, timestamp - INTERVAL 62 DAY, pm10 FROM obs)"
+
+
+@query(
+    "training_window_table",
+    f"""WITH {STORED} SELECT 'recent' AS window, city, timestamp, pm10 FROM stored WHERE timestamp >= TIMESTAMP '2024-01-21 00:00:00'
+    UNION ALL SELECT 'none', city, timestamp, pm10 FROM stored""",
+)
+def _(spark, d):
+    table_ = _stored(spark, d)
+    recent = St.training_window(table_, AS_OF, SPEC, 10)
+    none = St.training_window(table_, "2030-01-01", SPEC, 10)
+    return recent.withColumn("window", F.lit("recent")).unionByName(none.withColumn("window", F.lit("none"))).select("window", *KEY, "pm10")
+
+
+@query("latest_features_table", f"WITH {STORED} SELECT city, timestamp, pm10 FROM stored WHERE city = 'click' ORDER BY timestamp DESC LIMIT 900")
+def _(spark, d):
+    return St.latest_features(_stored(spark, d), SPEC, 900, "click")
+
+
 @query(
     "training_window",
     f"""WITH {OBS} SELECT 'recent' AS window, city, timestamp, pm10 FROM obs WHERE timestamp >= TIMESTAMP '2024-01-21 00:00:00'
@@ -781,6 +810,30 @@ def _(spark, d):
     return show(Ft.ewm_features(obs(spark, d), SPEC), KEY, list(EWM_SQL))
 
 
+def gap_ctes() -> str:
+    """The recursion with gaps: ``g`` counts the rows since the last known one."""
+    def step(k: int) -> str:
+        a, q = f"(2.0::DOUBLE / {k + 1})", f"pow(1 - 2.0::DOUBLE / {k + 1}, e.g + 1)"
+        return f"CASE WHEN s.aqi IS NULL THEN e.y{k} WHEN e.y{k} IS NULL THEN s.aqi ELSE ({q} * e.y{k} + {a} * s.aqi) / ({q} + {a}) END"
+
+    seed = ", ".join(f"aqi AS y{k}" for k in S.EWM_SPANS)
+    return f"""s AS (SELECT *, row_number() {W} AS rn FROM gappy), e AS (SELECT city, rn, 0 AS g, {seed} FROM s WHERE rn = 1
+  UNION ALL SELECT s.city, s.rn, CASE WHEN s.aqi IS NULL THEN e.g + 1 ELSE 0 END, {", ".join(map(step, S.EWM_SPANS))} FROM e JOIN s ON s.city = e.city AND s.rn = e.rn + 1)"""
+
+
+GAP_SQL = f"WITH RECURSIVE {GAPPY}, {gap_ctes()} SELECT s.city, s.timestamp, {{}} FROM s LEFT JOIN e ON e.city = s.city AND e.rn = s.rn - 1"
+
+
+@query("ewm_gaps", GAP_SQL.format(columns_sql(EWM_SQL)))
+def _(spark, d):
+    return show(Ft.ewm_features(gappy(spark, d), SPEC), KEY, list(EWM_SQL))
+
+
+@query("all_features_gaps", GAP_SQL.format(columns_sql(EWM_SQL)))
+def _(spark, d):
+    return show(Ft.all_features(gappy(spark, d), SPEC), KEY, list(EWM_SQL))
+
+
 def ffill_sql(c: str) -> str:
     return f"last_value({c} IGNORE NULLS) {rows_frame('UNBOUNDED PRECEDING', 'CURRENT ROW')}"
 
@@ -1210,6 +1263,14 @@ def _(spark, d):
     return show(St.read_features(spark, features), KEY, FEATURE_NAMES)
 
 
+@query("stream_gaps", GAP_SQL.format(columns_sql({n: f"coalesce({e}, 0)" for n, e in EWM_SQL.items()})))
+def _(spark, d):
+    """Unknown readings stay unknown in the stream's windows."""
+    features = new_path(spark, "features")
+    J.stream_features(_stream(spark, gappy(spark, d), 2, 1), new_path(spark, "obs"), features, new_path(spark, "cp"), SPEC).awaitTermination()
+    return show(St.read_features(spark, features), KEY, list(EWM_SQL))
+
+
 @query(
     "stream_daily",
     f"""WITH {READINGS} SELECT city, CAST(date_trunc('day', timestamp) AS TIMESTAMP) AS timestamp, COUNT(*) AS rows, {R5('avg(aqi)', 'aqi_mean')},
@@ -1278,12 +1339,12 @@ def _(spark, d):
     CAPPED_SQL.format(group="", by="", join=", fence")
     + f""", ready AS (SELECT *, row_number() {W} AS pos FROM featured WHERE {COMPLETE}),
     frame AS (SELECT a.city, a.timestamp, CAST(b.pos - a.pos AS INT) AS timestamp_offset, b.aqi AS target_aqi FROM ready a JOIN ready b
-    ON a.city = b.city AND b.pos BETWEEN a.pos + 1 AND a.pos + 6),
+    ON a.city = b.city AND b.pos BETWEEN a.pos + 1 AND a.pos + 72),
     numbered AS (SELECT *, row_number() OVER (ORDER BY city, timestamp, timestamp_offset) - 1 AS i, COUNT(*) OVER () AS n FROM frame)
     SELECT city, timestamp, timestamp_offset, {R5('target_aqi', 'target_aqi')}, CASE WHEN i < floor(n * (1 - 0.2::DOUBLE)) THEN 'train' ELSE 'test' END AS split FROM numbered""",
 )
 def _(spark, d):
-    prepared = P.preprocess_job(_raw(spark, d).drop("k"), RAW, CITIES, hours=6)
+    prepared = P.preprocess_job(_raw(spark, d).drop("k"), RAW, CITIES)
     return show(prepared.frame(), [*KEY, "timestamp_offset", "split"], ["target_aqi"])
 
 

@@ -51,26 +51,28 @@ def horizon_targets(df: DataFrame, spec: ObsSpec, hours: int = S.HORIZON) -> Dat
 def horizon_targets_time(df: DataFrame, spec: ObsSpec, hours: int = S.HORIZON) -> DataFrame:
     """Like :func:`horizon_targets`, but the target is the value at the very hour ``time + h``.
 
-    Groups are (entity, calendar bucket); readings of the first ``hours`` hours of a bucket are copied into
-    the bucket before it, so each group holds all the readings its rows look at.
+    Groups are (entity, calendar bucket, phase): only readings whose clocks differ by whole hours can meet, so the frame of a row
+    holds a reading an hour at most, at any sensor rate (more only where an instant is repeated). Readings of the first ``hours`` hours of a bucket
+    are copied into the bucket before it, so each group holds all the readings its rows look at.
     """
     days = -(-hours // 24)
     wide = spec.with_(bucket_days=max(spec.bucket_days, days))
     bucket, edge = B.calendar_bucket(wide), F.date_sub(F.col(spec.time).cast("date"), days)
     before = B.calendar_bucket(wide.with_(time="_edge"))
     copies = F.when(before < bucket, F.array(bucket, before)).otherwise(F.array(bucket))
-    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    since = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(spec.time))
+    hour = F.lit(3_600_000_000)
     placed = (
-        df.withColumns({"_us": F.timestamp_diff("MICROSECOND", epoch, F.col(spec.time)), "_edge": edge})
+        df.withColumns({"_phase": F.pmod(since, hour), "_hour": F.floor(since / hour), "_edge": edge})
         .withColumn("_g", F.explode(copies))
         .withColumn("_own", F.col("_g") == bucket)
+        .repartition(spec.entity, "_g", "_phase")
     )
-    hour = 3_600_000_000
-    ahead = W.partitionBy(spec.entity, "_g").orderBy("_us").rangeBetween(hour, hours * hour)
-    found = F.collect_list(F.struct(F.col("_us").alias("at"), F.col(spec.target).alias("v"))).over(ahead)
-    rows = B.by_group(placed, spec, "_g").withColumn(NEXT, found).where("_own")
-    exact = F.filter(NEXT, lambda e: ((e["at"] - F.col("_us")) % hour == 0) & e["v"].isNotNull())
-    numbered = F.transform(exact, lambda e: F.struct(((e["at"] - F.col("_us")) / hour).cast("int").alias("h"), e["v"].alias("v")))
+    ahead = W.partitionBy(spec.entity, "_g", "_phase").orderBy("_hour").rangeBetween(1, hours)
+    found = F.collect_list(F.struct(F.col("_hour").alias("at"), F.col(spec.target).alias("v"))).over(ahead)
+    rows = placed.withColumn(NEXT, found).where("_own")
+    known = F.filter(NEXT, lambda e: e["v"].isNotNull())
+    numbered = F.transform(known, lambda e: F.struct((e["at"] - F.col("_hour")).cast("int").alias("h"), e["v"].alias("v")))
     return expand_horizons(rows.withColumn(NEXT, numbered).select(*df.columns, NEXT))
 
 

@@ -1,10 +1,9 @@
-"""Exact interpolated quantiles that no single task has to hold.
+"""Exact interpolated quantiles that no single task has to hold, also of weighted rows.
 
 ``percentile`` keeps every distinct value of a group in one task, and ``percentile_approx`` is not
-exact. Here three passes share the work: (1) a small mergeable sketch brackets each wanted rank,
-(2) equal-width bins inside the bracket are counted, (3) only the values of the one or two bins
-that hold the wanted ranks are counted by value and ranked. Where values are spread evenly inside the
-bracket about one row in 250,000 reaches the last pass; repeated values are counted before they move.
+exact. Here the wanted ranks are found by radix selection: each value has a 64-bit number of the same order (sign, exponent, mantissa), and
+four passes count 16 bits each of the numbers that agree with a wanted rank so far. A pass counts at most 65,536 numbers for each
+prefix, combined in the tasks, however values are spread; the last one is left with equal values.
 """
 
 from __future__ import annotations
@@ -12,12 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-ACCURACY = 1000
-BINS = 1024
 SALTS = 32
-# bin -1 is everything below the bracket, bin BINS everything above it
-_BIN = f"""CASE WHEN value < low THEN -1 WHEN value > high THEN {BINS} WHEN high <= low THEN 0
-    ELSE CAST(least(floor((value - low) / nullif((high - low) / {BINS}D, 0D)), {BINS - 1}) AS INT) END"""
+DIGIT_BITS, DIGITS = 16, 4
+# exponent of a positive number: the logarithm may be off by one at powers of two
+_EXPONENT = "CASE WHEN a < pow(2D, e) THEN e - 1 WHEN a >= pow(2D, e + 1) THEN e + 1 ELSE e END"
+# the bits of a positive number: exponent and mantissa; below the smallest normal number the exponent stays
+_BITS = """CASE WHEN a = 0D THEN 0L WHEN e < -1022 THEN CAST(a / pow(2D, -1022) * 4503599627370496D AS BIGINT)
+    ELSE CAST(e + 1023 AS BIGINT) * 4503599627370496L + CAST((a / pow(2D, e) - 1D) * 4503599627370496D AS BIGINT) END"""
 
 
 def _join_parameters(values: DataFrame, parameters: DataFrame, by: list[str]) -> DataFrame:
@@ -41,67 +41,64 @@ def _names(columns) -> str:
     return ", ".join(f"`{c}`" for c in columns)
 
 
-def long_values(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
-    """(by, column, value) without nulls and NaN; a projection, no shuffle. With groups also ``_salt``."""
+def long_values(df: DataFrame, columns: list[str], by: list[str] = (), weight: str | None = None) -> DataFrame:
+    """(by, column, value) without nulls and NaN; a projection, no shuffle. With groups also ``_salt``; with ``weight`` also ``_weight``."""
     cells = ", ".join(f"struct('{c}' AS column, CAST(`{c}` AS DOUBLE) AS value)" for c in columns)
-    keys = [f"`{k}`" for k in by]
+    keys = [f"`{k}`" for k in by] + ([f"CAST(`{weight}` AS BIGINT) AS _weight"] if weight else [])
     salt = [f"{_salt(df, columns)} AS _salt"] if by else []
     flat = df.selectExpr(*keys, *salt, f"inline(array({cells}))")
-    return flat.where("value IS NOT NULL AND NOT isnan(value)")
+    return flat.where("value IS NOT NULL AND NOT isnan(value)" + (" AND _weight > 0" if weight else ""))
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: list[str] = ()) -> DataFrame:
-    """(by, column, prob, value): quantiles with linear interpolation between neighbouring ranks."""
-    by = list(by)
+def ordered_bits(df: DataFrame, value: str = "value", out: str = "_bits") -> DataFrame:
+    """Add a long that orders like the double ``value``; equal only for equal values (both zeros are one)."""
+    kept = df.columns
+    df = df.selectExpr("*", f"least(abs({value}), 1.7976931348623157E308D) AS a", f"isnan(0 * {value}) AS _infinite")
+    df = df.selectExpr("*", "coalesce(floor(log2(a)), 0) AS e")
+    bits = df.selectExpr(*_names_each(kept, "a", "_infinite", f"{_EXPONENT} AS e"))
+    bits = bits.selectExpr(*_names_each(kept, f"if(_infinite, 1L, 0L) + {_BITS} AS _abs"))
+    return bits.selectExpr(*_names_each(kept, f"if({value} < 0D, -_abs, _abs) AS `{out}`"))
+
+
+def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: list[str] = (), weight: str | None = None) -> DataFrame:
+    """(by, column, prob, value): quantiles with linear interpolation between neighbouring ranks.
+
+    ``weight``: a column of whole numbers; a row stands for that many equal rows, and for none if it is not positive.
+    """
     key = [*by, "column"]
-    slot = [*key, "prob"]
-    values = long_values(df, columns, by)
-
-    margin = 2.0 / ACCURACY
-    asked = [p for q in probs for p in (max(q - margin, 0.0), min(q + margin, 1.0))]
-    cuts = ", ".join(f"{p!r}D" for p in asked)
-    sketch = values.groupBy(*key).agg(
-        F.expr("count(*) AS n"),
-        F.expr("min(value) AS least"),
-        F.expr("max(value) AS most"),
-        F.expr(f"percentile_approx(value, array({cuts}), {ACCURACY}) AS cuts"),
-    )
-    slots = ", ".join(
-        f"struct({float(q)!r}D AS prob, {float(q)!r}D * (n - 1) AS rank, {'least' if q - margin <= 0 else f'cuts[{2 * i}]'} AS low, "
-        f"{'most' if q + margin >= 1 else f'cuts[{2 * i + 1}]'} AS high)"
-        for i, q in enumerate(probs)
-    )
-    brackets = sketch.selectExpr(_names_each(key, f"array({slots}) AS slots"))
-    placed = _join_parameters(values, brackets, by).selectExpr(_names_each(key, "value", "inline(slots)"))
-    bins = placed.groupBy(*slot, F.expr(_BIN).alias("bin")).agg(
-        F.expr("count(*) AS m"), F.expr("first(rank) AS rank"), F.expr("first(low) AS low"), F.expr("first(high) AS high")
-    )
+    key_names = _names(key)
+    values = ordered_bits(long_values(df, columns, by, weight))
+    rows = "_weight" if weight else "1L"
+    first = values.groupBy(*key, F.expr(f"shiftright(_bits, {64 - DIGIT_BITS}) AS prefix")).agg(F.expr(f"sum({rows}) AS m"))
+    first = first.selectExpr("*", f"sum(m) OVER (PARTITION BY {key_names}) AS n", f"sum(m) OVER (PARTITION BY {key_names} ORDER BY prefix) - m AS below")
     # the wanted ranks are floor(rank) and ceil(rank), 0-based
-    slot_names = _names(slot)
-    wanted = (
-        bins.selectExpr(
-            "*", f"coalesce(sum(m) OVER (PARTITION BY {slot_names} ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below"
+    ends = ", ".join(
+        f"struct({float(q)!r}D AS prob, {end} AS upper, CAST({f}({float(q)!r}D * (n - 1)) AS BIGINT) AS rest, {float(q)!r}D * (n - 1) AS rank)"
+        for q in probs for end, f in ((0, "floor"), (1, "ceil"))
+    )
+    found = _placed(first.selectExpr("*", f"array({ends}) AS slots"), key)
+    for digit in range(1, DIGITS):
+        shift = 64 - DIGIT_BITS * (digit + 1)
+        slots = found.groupBy(*key, "prefix").agg(F.collect_list(F.struct("prob", "upper", "rest", "rank")).alias("slots"))
+        wanted = slots.groupBy(*key).agg(F.collect_list(F.struct("prefix", "slots")).alias("prefixes"))
+        kept = _join_parameters(values, wanted, list(by)).selectExpr(
+            *_names_each(key, "value", "_bits", f"{rows} AS w", f"inline(filter(prefixes, p -> p.prefix = shiftright(_bits, {shift + DIGIT_BITS})))")
+        )
+        counted = kept.groupBy(*key, "prefix", F.expr(f"shiftright(_bits, {shift}) AS longer")).agg(
+            F.expr("sum(w) AS m"), F.expr("first(slots) AS slots"), F.expr("max(value) AS value")
         )
-        .where("below <= ceil(rank) AND below + m > floor(rank)")
-        .groupBy(*key)
-        .agg(F.expr("collect_list(struct(prob, rank, low, high, bin AS want, below)) AS slots"))
-    )
-    by_value = (
-        _join_parameters(values, wanted, by)
-        .selectExpr(_names_each(key, "value", "inline(slots)"))
-        .where(f"want = {_BIN}")
-        .groupBy(*slot, F.col("want").alias("bin"), "value")
-        .agg(F.expr("count(*) AS m"), F.expr("first(below) AS below"), F.expr("first(rank) AS rank"))
-    )
-    ranked = by_value.selectExpr(
-        "*", f"below + coalesce(sum(m) OVER (PARTITION BY {slot_names}, bin ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead"
-    )
-    found = ranked.groupBy(*slot).agg(
-        F.expr("max(if(ahead <= floor(rank) AND ahead + m > floor(rank), value, NULL)) AS a"),
-        F.expr("max(if(ahead <= ceil(rank) AND ahead + m > ceil(rank), value, NULL)) AS b"),
-        F.expr("first(rank - floor(rank)) AS part"),
-    )
-    return found.selectExpr(_names_each(slot, "a + (b - a) * part AS value"))
+        below = f"sum(m) OVER (PARTITION BY {key_names}, prefix ORDER BY longer) - m AS below"
+        found = _placed(counted.selectExpr(*_names_each(key, "longer AS prefix", "m", "slots", "value", below)), key, "value")
+    ends_of = [F.expr(f"max(if(upper = {u}, value, NULL)) AS {name}") for u, name in ((0, "a"), (1, "b"))]
+    both = found.groupBy(*key, "prob").agg(*ends_of, F.expr("first(rank - floor(rank)) AS part"))
+    return both.selectExpr(*_names_each(key, "prob", "a + (b - a) * part AS value"))
+
+
+def _placed(counted: DataFrame, key: list[str], *more: str) -> DataFrame:
+    """The ranks that fall on each counted number, relative to it."""
+    hit = "inline(filter(slots, s -> s.rest >= below AND s.rest < below + m))"
+    hits = counted.selectExpr(*_names_each(key, "prefix", "below", *more, hit))
+    return hits.selectExpr(*_names_each(key, "prefix", "prob", "upper", "rest - below AS rest", "rank", *more))
 
 
 def _names_each(columns, *more: str) -> list[str]:

@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, functions as F
 from aqspark.operators.quantiles import exact_quantiles
 
 
-def scale_parameters(train: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, center, scale); a column without spread keeps scale 1."""
+def scale_parameters(train: DataFrame, columns: list[str], weight: str | None = None) -> DataFrame:
+    """(column, center, scale); a column without spread keeps scale 1. ``weight``: how many equal rows a row stands for."""
     names = {"q1": 0.25, "center": 0.5, "q3": 0.75}
     picks = [F.expr(f"max(if(prob = {p}D, value, NULL)) AS {name}") for name, p in names.items()]
-    wide = exact_quantiles(train, columns, list(names.values())).groupBy("column").agg(*picks)
+    wide = exact_quantiles(train, columns, list(names.values()), weight=weight).groupBy("column").agg(*picks)
     return wide.selectExpr("column", "center", "if(q3 = q1, 1D, q3 - q1) AS scale")
 
 

@@ -59,6 +59,18 @@ class Prepared:
         rows = self.frame().where(F.col("split") == "train")
         return rows.withColumn("_n", F.floor(F.col("_n") * F.lit(1 - self.test_fraction)))
 
+    def scale_parameters(self) -> DataFrame:
+        """Medians and quartile distances over the training rows. A row counts as often as it has horizons among them, so that the
+        expanded frame isn't read; the horizons themselves are counted by the lists of them, of which there are few."""
+        first_test = F.floor(F.col("_n") * F.lit(1 - self.test_fraction))
+        weight = F.greatest(F.lit(0), F.least(first_test - F.col("_idx"), F.size(H.NEXT)))
+        rows = self.near.withColumn("_w", weight.cast("int"))
+        offsets = F.slice(F.transform(H.NEXT, lambda e: e["h"]), F.lit(1), F.col("_w"))
+        lists = rows.groupBy(offsets.alias("_offsets")).agg(F.count("*").alias("_w"))
+        counts = lists.select("_w", F.explode("_offsets").alias(H.OFFSET)).groupBy(H.OFFSET).agg(F.sum("_w").alias("_w"))
+        of_rows = scale_parameters(rows, [c for c in self.features if c != H.OFFSET], "_w")
+        return of_rows.unionByName(scale_parameters(counts, [H.OFFSET], "_w"))
+
     def test(self) -> DataFrame:
         return self.frame().where(F.col("split") == "test")
 
@@ -70,7 +82,8 @@ def preprocess_job(
     """Clean, impute, cap, build features (unless an ``hour`` column says that was done), drop incomplete
     rows, number, split and fit the scaler.
 
-    The frame with one row per horizon is never written or shuffled: rows are numbered before they are expanded.
+    The frame with one row per horizon is never written or shuffled: rows are numbered before they are expanded, and the
+    scaler is fitted on weighted rows.
     """
     plain = spec.with_(seq=None)
     cleaned = stage(clean_data(raw, spec, entities), "cleaned")
@@ -90,7 +103,7 @@ def preprocess_job(
     near = stage(with_global_index(arrays, plain, weight=F.size(H.NEXT)), "horizons")
     names = [c for c in H.feature_columns(complete, spec=plain) if c != spec.seq] + [H.OFFSET]
     prepared = Prepared(near, names, None, None, test_fraction)
-    prepared.parameters = stage(scale_parameters(prepared.train(), names), "scaler")
+    prepared.parameters = stage(prepared.scale_parameters(), "scaler")
     prepared.scaler = M.scaling_stage(prepared.parameters, names)
     return prepared
 

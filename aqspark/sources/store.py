@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from aqspark import spec as S
@@ -82,6 +82,7 @@ def upsert_features(path: str, incoming: DataFrame, spec: ObsSpec, shards: int =
 
     Only partitions with incoming rows are read and rewritten; the merged rows are staged first, so no path
     is overwritten while it is read. Doing it again with the same rows changes nothing, so a batch may be retried.
+    Folders are replaced one after another: one writer at a time, and no reader while it writes (readers that can't wait read snapshots).
     """
     spark = incoming.sparkSession
     batch = stage(prepare_for_store(incoming, spec, zero_fill).withColumns(partition_columns(spec, shards)), "upsert")
@@ -112,23 +113,51 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path).drop(MONTH, SHARD)
 
 
+def open_features(spark: SparkSession, path: str) -> DataFrame:
+    """The table with its partition columns, by which ``training_window`` and ``latest_features`` prune what they read."""
+    table = _read(spark, path)
+    return table.withColumns({MONTH: F.col(MONTH).cast("string"), SHARD: F.col(SHARD).cast("int")})
+
+
 def training_window(df: DataFrame, as_of: str, spec: ObsSpec, days: int = S.TRAINING_DAYS, fallback_all: bool = True) -> DataFrame:
     """Rows of the last ``days`` days before ``as_of`` and later; if there are none, all rows
-    (unless ``fallback_all`` is off). The choice hangs on one maximum, found without a second copy of the rows."""
+    (unless ``fallback_all`` is off). The choice hangs on one maximum, found without a second copy of the rows.
+
+    Of a frame from ``open_features`` only the months from the first day on are read, for the maximum too.
+    """
     start = F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(days=F.lit(days))
     recent = F.col(spec.time) >= start
-    if not fallback_all:
-        return df.where(recent)
-    newest = df.agg(F.max(spec.time)).scalar()
-    return df.where(recent | (newest < start))
-
-
-def latest_features(df: DataFrame, spec: ObsSpec, n: int = 48, entity: str | None = None) -> DataFrame:
+    if MONTH not in df.columns:
+        if not fallback_all:
+            return df.where(recent)
+        newest = df.agg(F.max(spec.time)).scalar()
+        return df.where(recent | (newest < start))
+    month = F.col(MONTH) >= F.date_format(start, "yyyy-MM")
+    if fallback_all:
+        none = df.where(month & recent).agg(F.max(spec.time)).scalar().isNull()
+        month, recent = month | none, recent | none
+    return df.where(month & recent).drop(MONTH, SHARD)
+
+
+def rows_of_entity(df: DataFrame, spec: ObsSpec, entity: str, n: int, shards: int = 4) -> DataFrame:
+    """Rows of one entity, its last ``n`` at least. In a frame from ``open_features`` only its shard (``shards`` as written) is
+    read, and of that only the last months that hold ``n`` of its rows, which are counted first."""
+    own = F.col(spec.entity) == entity
+    if SHARD in df.columns:
+        own &= F.col(SHARD) == F.pmod(F.xxhash64(F.lit(entity).cast(df.schema[spec.entity].dataType)), F.lit(shards)).cast("int")
+        counts = df.where(own).groupBy(MONTH).agg(F.count("*").alias("_n"))  # a row per month
+        later = F.sum("_n").over(Window.orderBy(F.desc(MONTH)))
+        first = counts.withColumn("_later", later).where(F.col("_later") >= n).agg(F.max(MONTH)).scalar()
+        own &= F.col(MONTH) >= F.coalesce(first, F.lit(""))
+    return df.where(own)
+
+
+def latest_features(df: DataFrame, spec: ObsSpec, n: int = 48, entity: str | None = None, shards: int = 4) -> DataFrame:
     """The last ``n`` rows of one entity, or of every entity."""
     if entity is None:
-        return last_n(df, spec, n)
+        return last_n(df.drop(MONTH, SHARD), spec, n)
     newest_first = [F.col(c).desc() for c in spec.order]
-    return df.where(F.col(spec.entity) == entity).orderBy(*newest_first).limit(n)
+    return rows_of_entity(df, spec, entity, n, shards).drop(MONTH, SHARD).orderBy(*newest_first).limit(n)
 
 
 def latest_snapshot(df: DataFrame, version: str = "version") -> DataFrame:

@@ -110,3 +110,30 @@ def test_columns_added_by_a_later_upsert_stay(spark, tmp_path):
     out = St.upsert_features(path, row("2025-02-02"), spec)
     assert sorted((str(r["timestamp"])[:10], r["temp"]) for r in out.collect()) == [("2025-01-01", None), ("2025-02-01", 7.0), ("2025-02-02", None)]
     assert St.prepare_for_store(row("2025-01-01").withColumn("aqi", F.lit(None).cast("double")), spec, zero_fill=False).first()["aqi"] is None
+
+
+def _files(df):
+    """How many files the scans of a query would read, after pruning."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month_key" in plan or "month_key" in plan.split("PartitionFilters: ", 1)[1][:400]
+    return {r[0] for r in df.select(F.input_file_name()).distinct().collect()}
+
+
+def test_reads_of_the_table_prune_months_and_shards(spark, tmp_path):
+    pdf = series(4, (("a", 4000), ("b", 3000), ("c", 2500), ("d", 900)))
+    St.upsert_features(str(tmp_path / "t"), frame(spark, pdf), SPEC)
+    table, plain = St.open_features(spark, str(tmp_path / "t")), frame(spark, pdf)
+    keys = lambda df: sorted(map(tuple, df.select("city", "timestamp").collect()))
+    for as_of, days in (("2025-06-10", 20), ("2025-05-01", 3), ("2031-01-01", 90)):
+        window = St.training_window(table, as_of, SPEC, days)
+        assert keys(window) == keys(St.training_window(plain, as_of, SPEC, days))
+        months = {f.split("month_key=")[1][:7] for f in _files(window)}
+        assert min(months) >= "2025-04" or as_of > "2030"
+    for city, n in (("a", 48), ("d", 5000), ("b", 1500), ("nowhere", 5)):
+        latest = St.latest_features(table, SPEC, n, city)
+        assert keys(latest) == keys(St.latest_features(plain, SPEC, n, city))
+        scanned = _files(St.rows_of_entity(table, SPEC, city, n))
+        assert len({f.split("shard=")[1][:1] for f in scanned}) == (city != "nowhere")
+        months = {f.split("month_key=")[1][:7] for f in scanned}
+        assert n > 1500 or len(months) <= n // 600 + 2
