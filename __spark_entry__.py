@@ -1222,6 +1222,22 @@ def _(spark, d):
     return show(A.sampled_attribution(o, model, ["pm10", "o3"], KEY, 2, o), [*KEY, "feature"], ["attribution"])
 
 
+@query("tree_attribution")
+def _(spark, d):
+    """Exact values of a boosted model with the default parameters; they add up to the difference from the mean row's prediction."""
+    o, names = stage(obs(spark, d), "obs"), ["pm2_5", "pm10", "no2", "o3"]
+    return A.tree_attribution(o, M.fit_gbt(o, names, "aqi"), names, KEY, o)
+
+
+@query("forecast_documents_job")
+def _(spark, d):
+    o, registry = stage(obs(spark, d), "obs"), new_path(spark, "registry")
+    model = M.fit_ridge(H.horizon_targets(o.withColumn("hour", F.hour("timestamp")), SPEC), ML_FEATURES)
+    R.registry_save(spark, registry, model, {"model_name": "Ridge Regression"}, ML_FEATURES, None, AS_OF)
+    documents, _ = P.forecast_documents_job(o, _current(spark, d).drop("temp"), registry, SPEC, AS_OF)
+    return documents.select("city", "current_aqi", "current_category", "model_name", "forecast_days", F.to_json("daily_predictions").alias("days"), F.to_json("top_features").alias("top_features"))
+
+
 # ---- streaming -----------------------------------------------------------------------------
 
 

@@ -12,7 +12,7 @@ from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, functions as F
 
 from aqspark import spec as S
-from aqspark.operators import clean as C, features as Ft, forecast as Fc, horizon as H, ml as M
+from aqspark.operators import attribution as A, clean as C, evaluate as E, features as Ft, forecast as Fc, horizon as H, ml as M
 from aqspark.operators.blocks import with_global_index
 from aqspark.operators.evaluate import best_model, leaderboard
 from aqspark.operators.scale import scale_parameters
@@ -182,11 +182,8 @@ def train_job(
     return Trained(table, fitted, prepared.features)
 
 
-def forecast_job(
-    history: DataFrame, current: DataFrame, model: PipelineModel, features: list[str], spec: ObsSpec, as_of: str,
-    days: int = S.FORECAST_DAYS, history_rows: int | None = None, entities=None,
-) -> tuple[DataFrame, DataFrame]:
-    """(hourly, daily) forecasts of every entity in ``current`` from its latest rows and its current reading.
+def future_job(history: DataFrame, current: DataFrame, spec: ObsSpec, days: int = S.FORECAST_DAYS, history_rows: int | None = None, entities=None) -> DataFrame:
+    """The feature rows of the next ``days`` days of every entity in ``current``, from its latest rows and its current reading.
 
     ``history_rows``: by default as many rows as a feature can reach back. An entity's forecast does not depend on
     the others: its gaps take its own medians, and a column it never reported counts as 0. A series
@@ -203,6 +200,50 @@ def forecast_job(
     # a small table, and a plan of its own: the optimizer is slow on the filter and the rank together
     featured = stage(C.drop_incomplete_or_short(stage(Ft.all_features(stage(imputed, "imputed"), plain), "features"), plain), "featured")
     carry = [c for c in S.WEATHER if c in featured.columns]
-    future = Fc.future_features(featured, plain, days * 24, carry)
+    return Fc.future_features(featured, plain, days * 24, carry)
+
+
+def forecast_job(
+    history: DataFrame, current: DataFrame, model: PipelineModel, features: list[str], spec: ObsSpec, as_of: str,
+    days: int = S.FORECAST_DAYS, history_rows: int | None = None, entities=None,
+) -> tuple[DataFrame, DataFrame]:
+    """(hourly, daily) forecasts of every entity in ``current``; see :func:`future_job`."""
+    plain = spec.with_(seq=None)
+    future = future_job(history, current, spec, days, history_rows, entities)
     hourly = stage(Fc.forecast(future, model, features, plain), "hourly")
     return hourly, Fc.daily_report(Fc.daily_rollup(hourly, plain), as_of)
+
+
+def forecast_documents_job(
+    history: DataFrame, current: DataFrame, registry: str, spec: ObsSpec, as_of: str, days: int = S.FORECAST_DAYS, top: int = 15, entities=None,
+) -> tuple[DataFrame, DataFrame]:
+    """(documents, missing): a document per entity with days, model, metrics and its own top features, by the best model of the registry;
+    and the entities of ``current`` that got none, because cleaning left nothing of them.
+
+    Features are attributed on the rows that were forecast, against the mean of all of them.
+    """
+    plain = spec.with_(seq=None)
+    model, metadata = R.registry_load(history.sparkSession, registry)
+    features = list(metadata.first()["feature_names"])
+    future = stage(future_job(history, current, spec, days, None, entities), "future")
+    daily = Fc.daily_report(Fc.daily_rollup(Fc.forecast(future, model, features, plain), plain), as_of)
+    aligned = Fc.align_features(future, features, [c for c in (spec.entity, H.OFFSET) if c not in features])
+    parts = A.attribution(aligned, model, features, [spec.entity, H.OFFSET], aligned)
+    importance = E.mean_abs_importance(parts, top, [spec.entity])
+    # one reading per entity: the current one, where it lacks a column the latest of history
+    now = Fc.last_n(Fc.append_observation(history.join(current.select(spec.entity).distinct(), spec.entity, "left_semi"), current, plain), plain, 1)
+    documents = Fc.forecast_document(stage(daily, "daily"), now, metadata, plain, as_of, importance)
+    missing = current.select(spec.entity).distinct().join(daily.select(spec.entity).distinct(), spec.entity, "left_anti")
+    return documents, missing
+
+
+def train_from_table_job(
+    spark, sources: list[str], registry: str, spec: ObsSpec, as_of: str, days: int = S.TRAINING_DAYS, models: list[M.Candidate] | None = None, tune: bool = False, **options,
+) -> Trained:
+    """Train on the first of ``sources`` (feature tables, the preferred one first) that has rows, over its last ``days`` days, and save the best model."""
+    for path in sources:
+        table = St.open_features(spark, path) if St._exists(spark, path) else None
+        if table is not None and not table.isEmpty():
+            raw = St.training_window(table, as_of, spec, days)
+            return train_job(preprocess_job(raw, spec, **options), models, tune, registry=registry, trained_at=as_of)
+    raise ValueError("no source has rows")

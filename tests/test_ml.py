@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -6,7 +8,7 @@ from pyspark.sql import functions as F
 
 from aqspark.operators import attribution as A, evaluate as E, ml as M
 from aqspark.plans import pipelines as P
-from aqspark.sources import registry as R
+from aqspark.sources import registry as R, store as St
 from aqspark.spec import ObsSpec
 
 FEATURES = ["a", "b", "c"]
@@ -56,6 +58,26 @@ def test_attributions(data):
     assert E.mean_abs_importance(A.linear_attribution(df, w, ["id"]), 2).count() == 2
 
 
+@pytest.mark.parametrize("name, params", [("Random Forest", {"n_estimators": 7, "max_depth": 6}), ("Gradient Boosting", {"n_estimators": 6, "max_depth": 4, "learning_rate": 0.4})])
+def test_tree_attribution_is_the_mean_over_all_orders(spark, name, params):
+    rng = np.random.default_rng(2)
+    names = list("uvwxyz")
+    x = np.round(rng.normal(size=(300, 6)), 1)
+    y = x[:, 0] * x[:, 1] + np.where(x[:, 2] > 0, 3 * x[:, 3], x[:, 4]) + x[:, 5]
+    df = spark.createDataFrame(pd.DataFrame(x, columns=names).assign(target=y, id=range(300)))
+    model = M.fit(M.candidate(name, **params), df, names, "target")
+    few, mean = x[:8], x.mean(axis=0)
+    # predictions of all mixtures of each row with the mean row
+    sets = [[(s >> j) & 1 for j in range(6)] for s in range(64)]
+    mixed = [(i, s, *map(float, np.where(sets[s], few[i], mean))) for i in range(len(few)) for s in range(64)]
+    p = {(r["i"], r["s"]): r["prediction"] for r in model.transform(spark.createDataFrame(mixed, ["i", "s", *names])).collect()}
+    weight = [math.factorial(k) * math.factorial(5 - k) / math.factorial(6) for k in range(6)]
+    expected = {(i, names[j]): sum(weight[sum(sets[s])] * (p[i, s | 1 << j] - p[i, s]) for s in range(64) if not sets[s][j]) for i in range(len(few)) for j in range(6)}
+    for chunk in (200_000, 20):
+        got = {(r["id"], r["feature"]): r["attribution"] for r in A.tree_attribution(df.where("id < 8"), model, names, ["id"], df, chunk).collect()}
+        assert got.keys() == expected.keys() and all(got[k] == pytest.approx(expected[k], abs=1e-9) for k in got)
+
+
 def test_search_grids():
     small = M.sampled_points({"alpha": [1, 2]})
     assert small == [{"alpha": 1}, {"alpha": 2}]
@@ -137,3 +159,12 @@ def test_train_and_forecast_round_trip(spark, tmp_path):
     hourly, daily = P.forecast_job(frame(spark, pdf), frame(spark, now), model, list(meta["feature_names"]), spec, "2025-02-01")
     assert hourly.count() == 144 and daily.count() == 6
     assert hourly.where("predicted < 0 OR predicted > 500 OR predicted IS NULL").count() == 0
+    nobody = now.head(1).assign(city="nowhere", aqi=np.nan, timestamp=pd.NaT)
+    documents, missing = P.forecast_documents_job(frame(spark, pdf), frame(spark, pd.concat([now, nobody])), str(tmp_path / "registry"), spec, "2025-02-01", top=4)
+    docs = {r["city"]: r for r in documents.collect()}
+    assert set(docs) == {"a", "b"} and [r[0] for r in missing.collect()] == ["nowhere"]
+    tops = docs["a"]["top_features"]
+    assert len(tops) == 4 and [t["importance"] for t in tops] == sorted((t["importance"] for t in tops), reverse=True)
+    St.write_processed(frame(spark, pdf.assign(city=pdf.city.str.upper())), str(tmp_path / "table"), spec)
+    again = P.train_from_table_job(spark, [str(tmp_path / "none"), str(tmp_path / "table")], str(tmp_path / "second"), spec, "2025-01-20", 90, models[:2], hours=3)
+    assert again.results.count() == 2 and R.registry_versions(spark, str(tmp_path / "second")).count() == 1
