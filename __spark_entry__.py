@@ -1112,7 +1112,18 @@ def _(spark, d):
     return Fc.daily_report(_future_daily(spark, d), AS_OF)
 
 
-@query("forecast_document")
+@query(
+    "forecast_document",
+    f"""WITH {OBS}, {VERSIONS}, {SIM_CTES}, best AS (SELECT * FROM versions WHERE rmse IS NOT NULL ORDER BY rmse, version LIMIT 1),
+    cur AS (SELECT * FROM obs QUALIFY row_number() OVER (PARTITION BY city ORDER BY timestamp DESC) = 1),
+    days AS (SELECT city, list({{day: day, date: strftime(DATE '2024-01-31' + day, '%Y-%m-%d'), aqi_mean: round(m, 1), aqi_max: round(hi, 1), aqi_min: round(lo, 1),
+      category: {category_sql('m', 2)}, color: {category_sql('m', 3)}, emoji: {category_sql('m', 4)}, alert: m > 150}} ORDER BY day) AS l FROM {DAILY_SIM} GROUP BY city)
+    SELECT cur.city, {category_sql('aqi', 2)} AS current_category, model_name, len(l)::INT AS forecast_days, to_json({{city: cur.city, current_aqi: round(aqi, 1), current_category: {category_sql('aqi', 2)},
+      current_color: {category_sql('aqi', 3)}, current_emoji: {category_sql('aqi', 4)}, current_alert: aqi > 150, current_weather: '{{}}'::JSON,
+      current_pollutants: {{pm2_5: round(pm2_5, 2), pm10: round(pm10, 2), no2: round(no2, 2), o3: round(o3, 2), co: 0.0::DOUBLE}}, daily_predictions: l, model_name: model_name,
+      model_metrics: {{mae: rmse, rmse: rmse, r2: 0.0::DOUBLE, trained_at: trained_at}}, forecast_days: len(l), generated_at: '2024-01-31T00:00:00.000'}})::VARCHAR AS document
+    FROM cur JOIN days ON days.city = cur.city, best""",
+)
 def _(spark, d):
     o = obs(spark, d)
     report = Fc.daily_report(_future_daily(spark, d), AS_OF)
