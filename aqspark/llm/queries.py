@@ -105,7 +105,8 @@ def _(spark, d):
     spelled = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
     count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     live = F.size(F.filter("spans", lambda x: x["live"])).cast("long")
-    return found.select("doc_id", *map(count, secrets.BASE), F.sha2(spelled(base), 256).alias("base_sha256"), spelled(F.col("spans")).alias("spans"), live.alias("n_live"))
+    counted = lambda what: F.array_join(F.transform("spans", lambda x: x[what].cast("string")), ",").alias(what)  # noqa: E731  (of each span)
+    return found.select("doc_id", *map(count, secrets.BASE), F.sha2(spelled(base), 256).alias("base_sha256"), spelled(F.col("spans")).alias("spans"), live.alias("n_live"), counted("owners"), counted("repositories"))
 
 
 @query("op8_packing")
