@@ -51,24 +51,25 @@ def stream_upsert(stream: DataFrame, path: str, checkpoint: str, spec: ObsSpec,
 def _context(spark: SparkSession, path: str, since: DataFrame, spec: ObsSpec, shards: int, lookback_days: int) -> DataFrame:
     """Rows from each entity's ``_since`` on, and the rows before it that features can reach.
 
-    Months within ``lookback_days`` are read first; older months only for the shards of entities that do not
-    have enough rows there.
+    Each shard has its own first month: only shards of entities with new rows are read, from ``lookback_days`` before their earliest one on. Older months
+    are read only for the shards of entities that do not have enough rows there.
     """
     reach = Ft.feature_reach()
-    edge = since.agg(F.min("_since")).select(
-        F.date_format(F.col("min(_since)") - F.make_dt_interval(days=F.lit(lookback_days)), "yyyy-MM")
-    ).first()[0]
     table = spark.read.parquet(path)
-    month = F.col(St.MONTH).cast("string")
+    month, shard = F.col(St.MONTH).cast("string"), F.col(St.SHARD).cast("int")
+    first = F.date_format(F.min("_since") - F.make_dt_interval(days=F.lit(lookback_days)), "yyyy-MM").alias("first")
+    own = St.partition_columns(spec, shards)[St.SHARD].alias("own")
+    edges = {r["own"]: r["first"] for r in since.groupBy(own).agg(first).collect()}  # a row per shard
+    edge = F.create_map(*[F.lit(x) for pair in edges.items() for x in pair])[shard]
     near = table.where(month >= edge).join(since, spec.entity)
     enough = near.groupBy(spec.entity).agg(F.count_if(F.col(spec.time) < F.col("_since")).alias("_before"))
     short = stage(
         since.join(enough, spec.entity, "left").where(F.coalesce("_before", F.lit(0)) < reach).drop("_before"), "short"
     )
-    far_shards = [r[0] for r in short.select(St.partition_columns(spec, shards)[St.SHARD]).distinct().collect()]
+    far_shards = [r[0] for r in short.select(own).distinct().collect()]
     rows = near
     if far_shards:
-        older = table.where((month < edge) & F.col(St.SHARD).cast("int").isin(far_shards))
+        older = table.where((month < edge) & shard.isin(far_shards))
         rows = near.unionByName(older.join(short, spec.entity))
     rows = rows.drop(St.MONTH, St.SHARD)
     before = last_n(rows.where(F.col(spec.time) < F.col("_since")), spec.with_(seq=None), reach)

@@ -23,6 +23,7 @@ def feed(spark, folder, parts):
 
 def test_features_equal_batch_with_late_rows_and_gaps(spark, tmp_path):
     pdf = series(1, (("a", 1700), ("b", 200), ("c", 3)))
+    pdf.loc[pdf.sample(frac=0.1, random_state=9).index, "aqi"] = np.nan
     late = pdf.sample(60, random_state=5)
     rest = pdf.drop(late.index)
     first = rest[rest.timestamp < "2025-03-01"]
@@ -37,6 +38,21 @@ def test_features_equal_batch_with_late_rows_and_gaps(spark, tmp_path):
         assert np.allclose(got[c].astype(float), expected[c].astype(float), atol=1e-8), c
 
 
+def test_a_late_row_of_one_city_doesnt_widen_the_months_of_others(spark, tmp_path):
+    pdf = series(6, (("a", 3000), ("b", 3000), ("c", 3000), ("d", 3000), ("e", 3000)))
+    St.write_processed(frame(spark, pdf), str(tmp_path / "obs"), SPEC, 8)
+    since = spark.createDataFrame([("a", "2025-02-03 00:00:00"), ("b", "2025-05-01 00:00:00")], "city string, _since string").withColumn("_since", F.col("_since").cast("timestamp_ntz"))
+    context = J._context(spark, str(tmp_path / "obs"), since, SPEC, 8, 10)
+    shard = {r[0]: r[1] for r in frame(spark, pdf).select("city", St.partition_columns(SPEC, 8)[St.SHARD]).distinct().collect()}
+    assert shard["a"] != shard["b"]
+    assert {r[0] for r in context.select("city").distinct().collect()} == {"a", "b"}
+    # b is read from its own first month on (with what its features can see before), not from that of a
+    first = {r[0]: r[1] for r in context.groupBy("city").agg(F.min("timestamp")).collect()}
+    assert first["b"].month >= 2 and first["a"].month == 1
+    filters = [x for x in context._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: ")[1:]]
+    assert sum("(month_key" in x[:300] and "shard" in x[:300] for x in filters) >= 2
+
+
 def test_upsert_and_daily(spark, tmp_path):
     pdf = series(2, (("a", 200), ("b", 60)))
     changed = pdf.head(40).assign(aqi=1.0)
