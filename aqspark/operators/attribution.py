@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +14,7 @@ from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, functions as F
 
 from aqspark import spec as S
+from aqspark.operators.forest import ForestModel
 from aqspark.sources.staging import new_path, stage
 
 #: Nodes of trees whose leaves are sent to all tasks at a time; more trees take more passes over the rows.
@@ -111,9 +112,7 @@ def tree_attribution(
     mean = source.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in features])
     prepare = PipelineModel(model.stages[:-1])
     z = np.array(prepare.transform(mean).select(vector_to_array("features").alias("v")).first()["v"])
-    path = new_path(spark, "trees")
-    trees.write().save(path)
-    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    sizes, read = _stored_nodes(spark, trees)
     # a forest is the mean of its trees
     total = sum(trees.treeWeights) if "Forest" in type(trees).__name__ else 1.0
     weights = np.array(trees.treeWeights) / total
@@ -121,14 +120,13 @@ def tree_attribution(
     rows = prepare.transform(plain).select(*key, vector_to_array("features").alias("v"), F.array(*[F.lit(0.0)] * len(features)).alias("parts"))
     chunks: list[list[int]] = [[]]
     held = 0
-    for r in sorted(nodes.groupBy("treeID").count().collect()):  # as many rows as trees
-        if held and held + r["count"] > chunk_nodes:
+    for tree, size in sizes:
+        if held and held + size > chunk_nodes:
             chunks, held = [*chunks, []], 0
-        chunks[-1].append(r["treeID"])
-        held += r["count"]
+        chunks[-1].append(tree)
+        held += size
     for i, chunk in enumerate(chunks):
-        own = nodes.where(F.col("treeID").isin(chunk)).select("treeID", "id", "prediction", "leftChild", "rightChild", "split.featureIndex", F.get("split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"))
-        leaves = _leaves(own.toPandas().to_numpy(dtype=float), weights, z)
+        leaves = _leaves(read(chunk), weights, z)
         rows = _add_leaves(rows, spark.sparkContext.broadcast(leaves), key)
         if 0 < i < len(chunks) - 1:
             rows = stage(rows, "parts")
@@ -136,6 +134,21 @@ def tree_attribution(
     return rows.select(*key, F.explode(cells).alias("e")).select(*key, "e.feature", "e.attribution")
 
 
+def _stored_nodes(spark, trees) -> tuple[list[tuple[int, int]], Callable[[list[int]], np.ndarray]]:
+    """(tree, number of nodes) of all trees, and a function that gives (tree, node, value, left, right, feature, threshold) of some."""
+    if isinstance(trees, ForestModel):
+        return [(t, len(tree["left"])) for t, tree in enumerate(trees.trees)], trees.nodes
+    path = new_path(spark, "trees")
+    trees.write().save(path)
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+
+    def read(chunk: list[int]) -> np.ndarray:
+        own = nodes.where(F.col("treeID").isin(chunk)).select("treeID", "id", "prediction", "leftChild", "rightChild", "split.featureIndex", F.get("split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"))
+        return own.toPandas().to_numpy(dtype=float)
+
+    return [(r["treeID"], r["count"]) for r in sorted(nodes.groupBy("treeID").count().collect())], read  # as many rows as trees
+
+
 def _leaves(nodes: np.ndarray, weights: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, ...]:
     """Per leaf: its value, and per feature on its path the feature, the bounds (low < x <= high) and whether the mean row is inside."""
     at = {(int(t), int(i)): row for t, i, *row in nodes}

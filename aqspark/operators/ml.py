@@ -21,12 +21,13 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, functions as F
 
 from aqspark import spec as S
 from aqspark.operators import horizon as H
 from aqspark.operators.evaluate import cv_summary, regression_metrics
+from aqspark.operators.forest import ForestRegressor
 from aqspark.sources.staging import stage, staging_root
 
 LABEL = H.TARGET
@@ -63,16 +64,9 @@ def _ridge(params: dict, train: DataFrame, label: str) -> Estimator:
 
 
 def _forest(params: dict, train: DataFrame, label: str) -> Estimator:
-    """Depth is bounded by 30 in Spark ML; a split needs two children, so the least leaf is half the least split."""
-    return RandomForestRegressor(
-        featuresCol="features",
-        labelCol=label,
-        numTrees=params["n_estimators"],
-        maxDepth=params["max_depth"] or 30,
-        minInstancesPerNode=max(1, params["min_samples_split"] // 2),
-        featureSubsetStrategy=params["max_features"],
-        seed=S.SEED,
-        **_TREES,
+    """A split needs two children, so the least leaf is half the least split."""
+    return ForestRegressor(
+        params["n_estimators"], params["max_depth"], max(1, params["min_samples_split"] // 2), params["max_features"], S.SEED, "features", label
     )
 
 
