@@ -1,4 +1,4 @@
-"""Fitting, tuning and comparing Spark ML regressors on horizon frames.
+"""Fitting, tuning and comparing regressors on horizon frames.
 
 Loops here run over models, parameter points and folds, of which there are a few dozen; every fit and
 every score inside them is a distributed job over one written table of scaled vectors, and a few run at a time. Linear models need
