@@ -1,7 +1,8 @@
 """Token ids of whole texts with a public byte-level BPE tokenizer.
 
 Most words of a corpus occur many times, so a Python worker encodes each of them once, and looks those of a batch up together. A text may be cut before a blank that stands between two
-characters that aren't white space: no piece of the tokenizer's pattern spans that place. Texts with any other blank, or with a
+characters that aren't white space: no piece of the tokenizer's pattern spans that place. Nor does one span the place between a letter and the
+punctuation that ends a word, so that a word is encoded once for all marks that follow it. Texts with any other blank, or with a
 special token, are encoded whole. Either way the ids equal those of ``Tokenizer.encode(text, add_special_tokens=False)``.
 """
 
@@ -21,6 +22,9 @@ from aqspark.llm.common import prefix
 REMEMBERED = 600_000
 _BLANK = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _ENDS = f"^$|^{_BLANK}|{_BLANK}$"
+#: Marks that may be cut off the end of a word, if a letter up to U+024F stands before them. The apostrophe isn't one, as it begins contractions.
+_MARKS = r"""!"#$%&()*+,-./:;<=>?@[\]^_`{|}~"""
+_LETTER = r"[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]\z"
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -69,19 +73,41 @@ class Encoder:
         self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(np.concatenate(sizes), dtype=np.int64)])
         self.met = np.concatenate([self.met, np.full(len(words), self.turn, dtype=np.int32)])
 
+    def _taken(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of known words, one after another, and where each begins."""
+        size = self.begin[at + 1] - self.begin[at]
+        end = prefix(size)
+        return self.pool[np.repeat(self.begin[at] - end[:-1], size) + np.arange(end[-1])], end
+
     def _forget(self) -> None:
         kept = np.sort(np.argsort(self.met, kind="stable")[-(REMEMBERED // 2) :])
-        size = np.diff(self.begin)[kept]
-        end = prefix(size)
-        take = np.repeat(self.begin[kept] - end[:-1], size) + np.arange(end[-1])
         words = list(self.place)
         self.place = {words[at]: i for i, at in enumerate(kept.tolist())}
-        self.pool, self.begin, self.met = self.pool[take], end, self.met[kept]
+        self.pool, self.begin = self._taken(kept)
+        self.met = self.met[kept]
 
     def _known(self, words: list[str]) -> np.ndarray:
         """The place of each word among those known, or -1."""
         return np.fromiter(map(self.place.get, words, repeat(-1)), dtype=np.int64, count=len(words))
 
+    def _words(self, words: pa.Array) -> pa.Array:
+        """The ids of different words that stand after a blank, as bytes."""
+        stems = pc.ascii_rtrim(words, _MARKS)
+        stems = pc.if_else(pc.match_substring_regex(stems, _LETTER), stems, words)
+        marks = _rest(words, stems).dictionary_encode()
+        stems = stems.dictionary_encode()
+        spelled = stems.dictionary.to_numpy(zero_copy_only=False).tolist()
+        place = self._known(spelled)
+        missing = np.flatnonzero(place < 0)
+        if len(missing):
+            new = [spelled[i] for i in missing.tolist()]
+            self._learn(new)
+            place[missing] = self._known(new)
+        self.met[place] = self.turn
+        ids = _binary(*self._taken(place)).take(stems.indices)
+        after = pa.array([self._bytes(x) for x in self._raw(marks.dictionary.to_pylist())], pa.large_binary()).take(marks.indices)
+        return pc.binary_join_element_wise(ids, after, pa.scalar(b"", pa.large_binary()))
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a batch, and where each text's ids begin (one more number at the end). Null counts as empty."""
         if len(self.place) > REMEMBERED:
@@ -92,45 +118,58 @@ class Encoder:
         starts = split.offsets.to_numpy().astype(np.int64)
         starts -= starts[0]
         words = split.flatten().dictionary_encode()
-        code, spelled = words.indices.to_numpy().astype(np.int64), words.dictionary
+        code, spelled = np.array(words.indices), words.dictionary
         # a blank beside white space leaves a chunk that is empty or has white space at an end
         strange = pc.match_substring_regex(spelled, _ENDS).to_numpy(zero_copy_only=False)
         odd = np.add.reduceat(strange[code], starts[:-1], dtype=np.int64) > 0 if len(code) else np.zeros(len(texts), dtype=bool)
         if self.special:
             odd |= pc.match_substring_regex(texts, self.special.pattern).to_numpy(zero_copy_only=False)
-        n = len(spelled)
-        first = starts[:-1][~odd]  # the first chunk of a text has no blank before it
-        blank = np.repeat(~odd, np.diff(starts))
-        blank[first] = False
-        used = np.zeros(n, dtype=bool)
-        used[code[blank]] = True
-        used = np.flatnonzero(used)
-        place = np.full(n, -1, dtype=np.int64)
-        words = spelled.take(pa.array(used)).to_pylist()
-        place[used] = self._known(words)
-        missing = np.flatnonzero(place[used] < 0)
-        if len(missing):
-            new = [words[i] for i in missing.tolist()]
-            self._learn(new)
-            place[used[missing]] = self._known(new)
-        self.met[place[used]] = self.turn
-        # first chunks come after the pool
+        # a table of the batch: words after a blank, then the first chunks of texts, which have none before them, and nothing, for texts encoded whole
+        n, first = len(spelled), starts[:-1][~odd]
         leading, which = np.unique(code[first], return_inverse=True)
+        nothing = n + len(leading)
+        code[first] = n + which
+        if odd.any():
+            code[np.repeat(odd, np.diff(starts))] = nothing
+        used = np.zeros(nothing + 1, dtype=bool)
+        used[code] = True
+        used = np.flatnonzero(used[:n])
+        after = self._words(spelled.take(pa.array(used)))
         own = [self._bytes(x) for x in self._raw(spelled.take(pa.array(leading)).to_pylist())]
-        sizes = np.array(list(map(len, own)), dtype=np.int64) // self.pool.itemsize
-        pool = np.concatenate([self.pool, np.frombuffer(b"".join(own), dtype=self.kind)])
-        begin, size = np.zeros(len(code), dtype=np.int64), np.zeros(len(code), dtype=np.int64)
-        at = place[code[blank]]
-        begin[blank], size[blank] = self.begin[at], np.diff(self.begin)[at]
-        begin[first], size[first] = (len(self.pool) + prefix(sizes)[:-1])[which], sizes[which]
-        end = prefix(size)
-        kind = np.int32 if max(end[-1], len(pool)) < 1 << 31 else np.int64
-        take = np.repeat((begin - end[:-1]).astype(kind), size)
-        take += np.arange(end[-1], dtype=kind)
-        ids, offsets, whole = pool[take], end[starts], np.flatnonzero(odd).tolist()
+        sizes, width = np.zeros(nothing + 1, dtype=np.int64), self.pool.itemsize
+        sizes[used] = np.diff(_edges(after)) // width
+        sizes[n:nothing] = np.array(list(map(len, own)), dtype=np.int64) // width
+        found = _binary(np.concatenate([_data(after, self.kind), np.frombuffer(b"".join(own), dtype=self.kind)]), prefix(sizes)).take(pa.array(code))
+        ids, offsets, whole = _data(found, self.kind), _edges(found)[starts] // width, np.flatnonzero(odd).tolist()
         return _with(ids, offsets, whole, self._raw(texts.take(pa.array(whole)).to_pylist())) if whole else (ids, offsets)
 
 
+def _binary(ids: np.ndarray, begin: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.large_binary(), len(begin) - 1, [None, pa.py_buffer(begin * ids.itemsize), pa.py_buffer(ids)])
+
+
+def _edges(values: pa.Array) -> np.ndarray:
+    """Where the bytes of each value begin, and the last one's end."""
+    return np.frombuffer(values.buffers()[1], dtype=np.int64, count=len(values) + 1, offset=8 * values.offset)
+
+
+def _data(values: pa.Array, kind: type) -> np.ndarray:
+    edges, data = _edges(values), values.buffers()[2]
+    width = np.dtype(kind).itemsize
+    size = int(edges[-1] - edges[0]) // width
+    return np.frombuffer(data, dtype=kind, count=size, offset=int(edges[0])) if size else np.zeros(0, dtype=kind)
+
+
+def _rest(words: pa.Array, stems: pa.Array) -> pa.Array:
+    """What each word has after its stem."""
+    words, stems = words.cast(pa.large_binary()), stems.cast(pa.large_binary())
+    size, own = np.diff(_edges(words)), np.diff(_edges(stems))
+    more = np.repeat(np.arange(len(size)), size - own)
+    begin = prefix(size - own)
+    at = (_edges(words)[:-1] + own - begin[:-1])[more] + np.arange(begin[-1])
+    return _binary(np.frombuffer(words.buffers()[2], dtype=np.uint8)[at] if len(at) else np.zeros(0, dtype=np.uint8), begin).cast(pa.large_string())
+
+
 def _with(ids: np.ndarray, offsets: np.ndarray, at: list[int], own: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """Put the ids of single texts, which are empty so far, into their places."""
     sizes = np.diff(offsets)

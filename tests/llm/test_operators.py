@@ -219,6 +219,23 @@ def test_encoder_equals_the_tokenizer():
     assert all(ids[a:b].tolist() == plain.encode(t or "", add_special_tokens=False).ids for t, a, b in zip(texts, at, at[1:]))
 
 
+def test_words_are_encoded_once_for_all_marks_after_them(monkeypatch):
+    plain, own = Tokenizer.from_file(TOKENIZER), tokens.Encoder(TOKENIZER)
+    ids = lambda t: plain.encode(t or "", add_special_tokens=False).ids
+    met = " ".join(["so"] + [f"word{m} élan{m}" for m in ("", ",", ".", "!!", ").", "###", "\\", "_", '"')])
+    got, _ = own.encode(pa.array([met]))
+    assert got.tolist() == ids(met) and set(own.place) == {"word", "élan"}
+    # marks beside apostrophes, digits, marks of other alphabets and line ends; words met again after they were forgotten
+    monkeypatch.setattr(tokens, "REMEMBERED", 400)
+    rng = np.random.default_rng(2)
+    parts = ["word", "Élan", "ǿ", "ɐ", "日", "ª", "²", "7", "e\u0301", "'s", "'", "it's", "<|", "endoftext", "|>", "\n", "\t", ",", ".", "...", "_", "\\", '"', "$", "×", "÷", "…", " ", " ", " "]
+    for _ in range(30):
+        texts = ["".join(rng.choice(parts, rng.integers(0, 25))) for _ in range(150)] + [None, "", "a,", ", b,", "a, b.", "<|endoftext|>, a,"]
+        got, at = own.encode(pa.array(texts))
+        assert all(got[a:b].tolist() == ids(t) for t, a, b in zip(texts, at, at[1:])) and len(at) == len(texts) + 1
+    assert own.encode(pa.array([], pa.string()))[1].tolist() == [0]
+
+
 @pytest.mark.parametrize("sizes", [[0], [5], [0, 0, 9], [1] * 300, list(range(200)), [10**6, 1, 0, 3] * 40])
 def test_elias_fano_select(sizes):
     offsets = np.concatenate([[0], np.cumsum(sizes)])
