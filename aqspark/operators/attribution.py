@@ -137,7 +137,7 @@ def tree_attribution(
 def _stored_nodes(spark, trees) -> tuple[list[tuple[int, int]], Callable[[list[int]], np.ndarray]]:
     """(tree, number of nodes) of all trees, and a function that gives (tree, node, value, left, right, feature, threshold) of some."""
     if isinstance(trees, ForestModel):
-        return [(t, len(tree["left"])) for t, tree in enumerate(trees.trees)], trees.nodes
+        return list(enumerate(trees.trees.sizes)), trees.nodes
     path = new_path(spark, "trees")
     trees.write().save(path)
     nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
