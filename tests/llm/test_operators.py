@@ -122,6 +122,46 @@ def test_decontamination(spark, docs, none, monkeypatch, block):
     assert contamination.find_passages(none, tests).count() == 0 and contamination.clean(docs, tests.limit(0)).count() == len(TEXTS)
 
 
+@pytest.mark.parametrize("block", [1_500_000, 30])
+def test_passages_of_odd_rows(spark, docs, monkeypatch, block):
+    """Hits that touch the ends of texts, short windows between long ones, repeated and null ids, no words at all, bytes that aren't UTF-8."""
+    monkeypatch.setattr(contamination, "BLOCK_WORDS", block)
+    long = " ".join(f"w{i}" for i in range(20))
+    items = [(1, long), (2, "w3 w4"), (3, "Solo"), (3, "solo"), (None, "w1, w2, other"), (4, None), (5, "--")]
+    texts = [
+        (1, f"x {long}"), (2, f"{long[3:]} y"), (2, f"{long[3:]} y"), (3, None), (4, ""), (None, "solo SOLO"), (5, "w4 w3 w2 w1"), (6, " ".join(f"w{i}" for i in range(12))),
+        (7, "w0"), (8, "é w3-w4 日本 w1 w2 other; solo"), (9, " ."), (10, f"{long} {long}"), (11, "w1 w2 w4"), (12, "w3"), (12, "w4"), (13, "solos w3w4"),
+    ]
+    split = lambda t: [m.span() for m in re.finditer("[0-9A-Za-z\x80-\U0010ffff]+", t or "")]
+    words = lambda t: [t[a:b].lower() for a, b in split(t)]
+    expected = []
+    for i, t in texts:
+        w, at, hit, found = words(t), split(t), set(), set()
+        for item, x in items:
+            q = words(x)
+            n = min(13, len(q))
+            for k in range(len(w) - n + 1 if n else 0):
+                if any(w[k : k + n] == q[j : j + n] for j in range(len(q) - n + 1)):
+                    hit.update(range(k, k + n))
+                    found |= {str(item)} - {"None"}
+        first, end = sorted(k for k in hit if k - 1 not in hit), sorted(k for k in hit if k + 1 not in hit)
+        expected.append((i or 0, len(w), len(hit), sorted(found), [(at[a][0], at[b][1]) for a, b in zip(first, end)]))
+    rows = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    raw = spark.range(14, 15, numPartitions=1).select(F.col("id").alias("doc_id"), F.expr("cast(unhex('FF2077332D773420C320736F6C6F') AS string)").alias("text"))
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    got = contamination.find_passages(rows.unionAll(raw), tests).collect()
+    assert sorted((r["doc_id"] or 0, r["n_words"], r["n_hit"], list(r["items"]), [tuple(s) for s in r["spans"]]) for r in got if r["doc_id"] != 14) == sorted(expected)
+    assert [(r["n_words"], r["n_hit"], list(r["items"])) for r in got if r["doc_id"] == 14] == [(5, 3, ["2", "3"])]
+    kept = contamination.clean(rows, tests)
+    assert sorted(map(repr, (tuple(r) for r in kept.collect()))) == sorted(repr(x) for x, (_, n, h, _, _) in zip(texts, expected) if not (h and 20 * h >= n))
+
+
+def test_texts_go_to_python_once(spark, docs, capsys):
+    tests = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(300))), (2, "one two")], "item_id long, text string")
+    contamination.find_passages(docs, tests).explain()
+    assert len(re.findall("MapInArrow", capsys.readouterr().out)) == 1
+
+
 def test_shards(spark, docs, none):
     _, got = sharding.write_shards(docs, shards=4)
     rows = got.select("row.doc_id", "row.text", "row.row", "shard", "slot").collect()
