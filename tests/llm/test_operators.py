@@ -156,10 +156,23 @@ def test_passages_of_odd_rows(spark, docs, monkeypatch, block):
     assert sorted(map(repr, (tuple(r) for r in kept.collect()))) == sorted(repr(x) for x, (_, n, h, _, _) in zip(texts, expected) if not (h and 20 * h >= n))
 
 
-def test_texts_go_to_python_once(spark, docs, capsys):
+def test_texts_go_to_python_once_and_few_words_to_the_automaton(spark, docs, capsys):
     tests = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(300))), (2, "one two")], "item_id long, text string")
     contamination.find_passages(docs, tests).explain()
     assert len(re.findall("MapInArrow", capsys.readouterr().out)) == 1
+    passage = [f"w{i}" for i in range(40, 60)]
+    texts = pa.array([" ".join([*(f"w{i * 7 % 300}" for i in range(5000)), *passage, "w1", "more"]), None, "w5 one w6", "one two"])
+    windows = [(" ".join(f"w{i}" for i in range(k, k + 13)), ["1"]) for k in range(288)] + [("one two", ["2"])]
+    built, fed = contamination._automaton("test", windows), []
+
+    class Counted:
+        def iter(self, words):
+            fed.append(len(words))
+            return built.automaton.iter(words)
+
+    sizes, runs, found = contamination._runs(texts, [None] * 4, built._replace(automaton=Counted()))
+    assert list(sizes) == [5022, 0, 3, 2] and [None if x is None else list(x) for x in runs] == [[5000, 5020], None, None, [0, 2]]
+    assert found == [set(range(40, 48)), set(), set(), {288}] and fed == [20, 2]
 
 
 def test_shards(spark, docs, none):
